@@ -1,41 +1,62 @@
-"""Keep-first deduplication, surplus rows and distinct keys over any table."""
+"""Keep-first deduplication, surplus rows and distinct keys over any table.
+
+Hot keys never fill one task: where a whole row is picked, an aggregate combines map-side; where rows are ranked, the rows
+of hot keys (at most ``1/share`` of them, see :func:`lodestrom.operators.joins.hot_keys`) are spread by a salt, and their
+overall first comes from a map-side combined minimum.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestrom.operators.joins import hot_keys
+
+SALTS = 32
+
 
-def _total_order(df: DataFrame, order: list[Column]) -> Column:
-    """The given order, then the whole row as text, so that ties are settled the same way in every run."""
+def _total_order(order: list[Column]) -> Column:
+    """The given order (nulls last), then the whole row as text, so that ties are settled the same way in every run."""
     keyed = [part for c in order for part in (c.isNull(), c)]
     return F.struct(*(c.alias(f"o{i}") for i, c in enumerate(keyed)), F.to_json(F.struct("*")).alias("row"))
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """The first row of each key (nulls last), chosen by a map-side combined aggregate, so hot keys shrink before the shuffle.
-
-    Rows with a null in the key form no group here: they are all kept. Route them elsewhere before, if they must go.
-    """
+    """The first row of each key. Rows with a null in the key form no group: they are all kept; route them elsewhere
+    before, if they must go."""
     whole = F.struct(*(F.col(c) for c in df.columns))
     keyless = F.lit(False)
     for k in keys:
         keyless = keyless | F.col(k).isNull()
-    first = df.where(~keyless).groupBy(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys))).agg(F.min_by(whole, _total_order(df, order)).alias("_first"))
+    first = df.where(~keyless).groupBy(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys))).agg(F.min_by(whole, _total_order(order)).alias("_first"))
     return first.select("_first.*").unionByName(df.where(keyless))
 
 
 def keep_first_window(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """The same by ``row_number() = 1``; Spark prunes each partition to one row before the shuffle."""
+    """The same by ``row_number() = 1`` with null keys as a group; Spark cuts each task to one row a key before the shuffle."""
     ranked = df.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*(o.asc_nulls_last() for o in order), F.to_json(F.struct("*")))))
     return ranked.where("_rn = 1").drop("_rn")
 
 
-def surplus_rows(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """The rows beyond the first of each key. Only keys that occur more than once are ranked."""
-    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
-    ranked = df.join(repeated, keys, "left_semi").withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*(o.asc_nulls_last() for o in order), F.to_json(F.struct("*")))))
-    return ranked.where("_rn > 1").drop("_rn")
+def mark_first(df: DataFrame, key: str, order: list[Column], out: str = "_first", share: float = 0.01, floor: int = 100_000) -> DataFrame:
+    """``df`` with a boolean ``out``: whether a row is the first of its key; null where the key is null."""
+    columns = df.columns
+    hot = hot_keys(df.select(key), key, share, floor).withColumn("_hot", F.lit(True))
+    placed = _total_order(order)
+    rows = df.withColumn("_order", placed).join(F.broadcast(hot), key, "left")  # at most 1/share keys
+    # equal rows share a salt, so that only one of them can be first
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64("_order"), F.lit(SALTS))).otherwise(0)
+    local = F.row_number().over(Window.partitionBy(key, "_salt").orderBy("_order"))
+    ranked = rows.withColumn("_salt", salt).withColumn("_rn", local)
+    of_hot = df.withColumn("_order", placed).join(F.broadcast(hot.drop("_hot")), key, "left_semi").groupBy(key).agg(F.min("_order").alias("_least"))
+    told = ranked.join(F.broadcast(of_hot), key, "left")
+    first = (F.col("_rn") == 1) & F.coalesce(F.col("_order") == F.col("_least"), F.lit(True))
+    return told.select(*columns, F.when(F.col(key).isNotNull(), first).alias(out))
+
+
+def surplus_rows(df: DataFrame, key: str, order: list[Column], **hot: float) -> DataFrame:
+    """The rows beyond the first of each key. Null keys have no surplus."""
+    return mark_first(df, key, order, "_first", **hot).where("not _first").drop("_first")
 
 
 def surplus_count(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestrom.config import REQUIRED_TRANSACTION_FIELDS, Settings
@@ -17,6 +17,7 @@ from lodestrom.functions import currency, geo
 from lodestrom.functions.amounts import amount as readable_amount
 from lodestrom.functions.keys import identifier, surrogate_key
 from lodestrom.functions.parse import age_band, is_blank, is_date_variant, is_quoted_amount, parse_date, parse_timestamp
+from lodestrom.operators.dedupe import mark_first
 from lodestrom.operators.joins import skew_safe_join
 from lodestrom.sources.files import with_missing
 
@@ -38,39 +39,33 @@ def null_if_blank(col: Column) -> Column:
     return F.when(~is_blank(col), col)
 
 
-def _unique(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
-    """All rows with ``_nth`` of their key: 1 stays. Null keys are no key and have none."""
-    spec = Window.partitionBy(key).orderBy(*(o.asc_nulls_last() for o in order), F.to_json(F.struct("*")))
-    return df.withColumn("_nth", F.when(F.col(key).isNotNull(), F.row_number().over(spec)))
-
-
 def silver_customers(bronze: DataFrame) -> Split:
     """One typed row per customer id; surplus rows and rows without an id are rejected with a reason."""
     order = [F.col(c) for c in ("loaded_at", "row_id") if c in bronze.columns]
-    ranked = _unique(bronze.withColumn("customer_id", identifier(F.col("customer_id"))), "customer_id", order)
-    reason = F.when(F.col("customer_id").isNull(), "NULL_REQUIRED").when(F.col("_nth") > 1, "DUPLICATE_DEDUPED")
+    ranked = mark_first(bronze.withColumn("customer_id", identifier(F.col("customer_id"))), "customer_id", order)
+    reason = F.when(F.col("customer_id").isNull(), "NULL_REQUIRED").when(~F.col("_first"), "DUPLICATE_DEDUPED")
     kept = ranked.where(reason.isNull()).select(
         "customer_id", "gender", "province", "income_band", "segment", F.col("risk_score").try_cast("double").cast("int").alias("risk_score"), "kyc_status",
         parse_date(F.col("dob")).alias("dob"), is_date_variant(F.col("dob")).alias("date_variant"), "product_flags",
     )
-    return Split(kept, ranked.withColumn("reason", reason).where("reason is not null").drop("_nth"))
+    return Split(kept, ranked.withColumn("reason", reason).where("reason is not null").drop("_first"))
 
 
 def silver_accounts(bronze: DataFrame, customers: DataFrame) -> Split:
     """One typed row per account id that belongs to a known customer; all others are rejected with a reason."""
     order = [F.col(c) for c in ("loaded_at", "row_id") if c in bronze.columns]
     keyed = bronze.withColumns({"account_id": identifier(F.col("account_id")), "customer_ref": identifier(F.col("customer_ref"))})
-    ranked = _unique(keyed, "account_id", order)
+    ranked = mark_first(keyed, "account_id", order)
     owners = customers.select(F.col("customer_id").alias("customer_ref"), F.lit(True).alias("_owned"))
     met = skew_safe_join(ranked, owners, "customer_ref", "left", right_bytes=64)
-    reason = F.when(F.col("account_id").isNull(), "NULL_REQUIRED").when(F.col("_nth") > 1, "DUPLICATE_DEDUPED").when(F.col("_owned").isNull(), "UNKNOWN_CUSTOMER")
+    reason = F.when(F.col("account_id").isNull(), "NULL_REQUIRED").when(~F.col("_first"), "DUPLICATE_DEDUPED").when(F.col("_owned").isNull(), "UNKNOWN_CUSTOMER")
     judged = met.withColumn("reason", reason)
     kept = judged.where("reason is null").select(
         "account_id", "customer_ref", "account_type", "account_status", parse_date(F.col("open_date")).alias("open_date"), "product_tier", "mobile_number", "digital_channel",
         readable_amount(F.col("credit_limit")).alias("credit_limit"), readable_amount(F.col("current_balance")).alias("current_balance"), parse_date(F.col("last_activity_date")).alias("last_activity_date"),
         (is_date_variant(F.col("open_date")) | is_date_variant(F.col("last_activity_date"))).alias("date_variant"),
     )
-    return Split(kept, judged.where("reason is not null").drop("_nth", "_owned"))
+    return Split(kept, judged.where("reason is not null").drop("_first", "_owned"))
 
 
 def typed_transactions(bronze: DataFrame) -> DataFrame:
@@ -110,17 +105,16 @@ def dq_flag() -> Column:
 def judged_transactions(typed: DataFrame, accounts: DataFrame) -> DataFrame:
     """Every row with its ``outcome``; ids are kept at their first time, rows without an id are never duplicates.
 
-    Duplicates are found by a window over the id: a hot id is sorted by one task, but spills and is never collected; the
-    at-scale way for a feed with hot ids is :func:`lodestrom.operators.delivery.deliver_once` before this step.
+    Hot ids are spread over salts, see :func:`lodestrom.operators.dedupe.mark_first`.
     """
-    ranked = _unique(typed, "transaction_id", [F.col("transaction_timestamp")])
+    ranked = mark_first(typed, "transaction_id", [F.col(c) for c in ("transaction_timestamp", "row_id") if c in typed.columns])
     known = accounts.select("account_id", F.lit(True).alias("_known")).where("account_id is not null")
     met = skew_safe_join(ranked, known, "account_id", "left", right_bytes=64)
     missing = F.lit(False)
     for c in REQUIRED_TRANSACTION_FIELDS:
         missing = missing | F.col(c).isNull()
-    outcome = F.when(F.col("_nth") > 1, "duplicate").when(missing, "missing_required").when(F.col("_known").isNull(), "orphan").otherwise("valid")
-    return met.withColumns({"outcome": outcome, "dq_flag": dq_flag()}).drop("_nth", "_known")
+    outcome = F.when(~F.col("_first"), "duplicate").when(missing, "missing_required").when(F.col("_known").isNull(), "orphan").otherwise("valid")
+    return met.withColumns({"outcome": outcome, "dq_flag": dq_flag()}).drop("_first", "_known")
 
 
 def silver_transactions(judged: DataFrame) -> Split:

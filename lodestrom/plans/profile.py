@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lodestrom.config import Settings
 from lodestrom.functions import currency, geo
+from lodestrom.functions.amounts import amount as amount_of
 from lodestrom.functions.parse import is_blank, parse_date, parse_timestamp
 from lodestrom.operators.frequency import domain_columns, invalid
 from lodestrom.operators.joins import skew_safe_join
@@ -38,7 +39,7 @@ def _unparsed(name: str, text: Column, parsed: Column) -> Metrics:
 
 
 def _number(name: str) -> Column:
-    return F.col(name).try_cast("decimal(18,2)")
+    return amount_of(F.col(name))
 
 
 def transaction_metrics(settings: Settings) -> Metrics:

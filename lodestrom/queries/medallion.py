@@ -163,9 +163,9 @@ def amount_typing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "transactions").select("row_id", value.alias("value"), (F.col("amount").isNotNull() & value.isNull()).alias("cast_failed"))
 
 
-@query("SRC2 PAR6 PRJ2 PRJ13", """SELECT line_id, regexp_matches(line_text, '"amount"\\s*:\\s*"') AS quoted,
+@query("SRC2 PAR6 PRJ2 PRJ13", r"""SELECT line_id, regexp_matches(line_text, '"amount"\s*:\s*"') AS quoted,
   CASE WHEN json_valid(line_text) THEN line_text ->> '$.transaction_id' END AS transaction_id, CASE WHEN json_valid(line_text) THEN line_text ->> '$.location.province' END AS province
-  FROM raw_lines WHERE file_name = 'transactions.jsonl' AND json_valid(line_text)""")
+  FROM raw_lines WHERE file_name = 'transactions.jsonl' AND json_valid(line_text) AND NOT regexp_matches(line_text, ',\s*[}\]]')""")
 def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lodestrom.operators.lines import parse_lines
 
@@ -207,7 +207,7 @@ def keep_first_by_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("WIN2 J3", "SELECT row_id FROM (SELECT row_id, row_number() OVER (PARTITION BY transaction_id ORDER BY ingested_at NULLS LAST, row_id) AS rn FROM transactions WHERE transaction_id IS NOT NULL) WHERE rn > 1")
 def duplicate_surplus_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = table(spark, sf_dir, "transactions").where("transaction_id is not null").select("transaction_id", "ingested_at", "row_id")
-    return dedupe.surplus_rows(t, ["transaction_id"], [F.col("ingested_at"), F.col("row_id")]).select("row_id")
+    return dedupe.surplus_rows(t, "transaction_id", [F.col("ingested_at"), F.col("row_id")]).select("row_id")
 
 
 @query("AGG4 AGG5 AGG7 AGG8", "SELECT CAST(sum(n) AS BIGINT) AS rows, count(*) AS groups, CAST(sum(n - 1) AS BIGINT) AS surplus FROM (SELECT transaction_id, count(*) AS n FROM transactions GROUP BY 1)")
@@ -262,10 +262,13 @@ sa AS (SELECT k AS account_id, r AS customer_ref, account_type, account_status,
 t0 AS (SELECT row_id, {_id('transaction_id')} AS transaction_id, {_id('account_id')} AS account_id, {_date('transaction_date')} AS transaction_date, {_stamp('transaction_date', 'transaction_time')} AS stamp,
   nullif(trim(transaction_type), '') AS transaction_type, nullif({_clean('currency')}, '') AS currency, nullif(trim(channel), '') AS channel, {_amount('amount')} AS amount, NOT {_blank('amount')} AND {_amount('amount')} IS NULL AS unreadable,
   location.province AS province, {_variant('transaction_date')} AS date_variant, {_alias('currency')} AS currency_variant FROM transactions),
-tn AS (SELECT transaction_id, count(*) AS n FROM t0 WHERE transaction_id IS NOT NULL GROUP BY 1),
-t1 AS (SELECT t0.*, tn.n FROM t0 LEFT JOIN tn USING (transaction_id))"""
-# The pipeline keeps the first of each id by time and then by the row's text; the oracle compares what does not depend on that choice.
-_OUTCOME = "CASE WHEN transaction_id IS NULL OR account_id IS NULL OR transaction_date IS NULL OR stamp IS NULL OR amount IS NULL OR transaction_type IS NULL OR currency IS NULL OR channel IS NULL THEN 'missing_required' WHEN account_id NOT IN (SELECT account_id FROM sa) THEN 'orphan' ELSE 'valid' END"
+t1 AS (SELECT *, CASE WHEN transaction_id IS NOT NULL THEN row_number() OVER (PARTITION BY transaction_id ORDER BY stamp NULLS LAST, row_id) END AS nth FROM t0),
+tj AS (SELECT *, CASE WHEN nth > 1 THEN 'duplicate' WHEN transaction_id IS NULL OR account_id IS NULL OR transaction_date IS NULL OR stamp IS NULL OR amount IS NULL OR transaction_type IS NULL OR currency IS NULL OR channel IS NULL THEN 'missing_required'
+  WHEN account_id NOT IN (SELECT account_id FROM sa) THEN 'orphan' ELSE 'valid' END AS outcome,
+  CASE WHEN date_variant THEN 'DATE_FORMAT' WHEN currency_variant THEN 'CURRENCY_VARIANT' END AS dq_flag FROM t1),
+ft AS (SELECT tj.row_id, tj.transaction_id, sa.account_id, sa.customer_ref AS customer_id, tj.transaction_date, tj.transaction_type, tj.amount, tj.currency, tj.channel, coalesce(sc.province, tj.province) AS province, dq_flag
+  FROM tj JOIN sa USING (account_id) JOIN sc ON sa.customer_ref = sc.customer_id WHERE outcome = 'valid')"""
+
 
 
 def _tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -297,35 +300,37 @@ def _judged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, medallion.Spli
     return medallion.judged_transactions(medallion.typed_transactions(t), accounts.valid), accounts
 
 
-# ids that occur once have one possible outcome; of the others all but one row are duplicates
-@query("FLT3 FLT5 FLT14 PRJ3 SNK5 DQ3", f"WITH {_SILVER} SELECT row_id, {_OUTCOME} AS outcome, CASE WHEN date_variant THEN 'DATE_FORMAT' WHEN currency_variant THEN 'CURRENCY_VARIANT' END AS dq_flag FROM t1 WHERE n IS NULL OR n = 1")
-def outcomes_of_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged, _ = _judged(spark, sf_dir)
-    repeated = table(spark, sf_dir, "transactions").groupBy(identifier(F.col("transaction_id")).alias("transaction_id")).agg(F.count(F.lit(1)).alias("n")).where("n > 1 and transaction_id is not null").select("transaction_id")
-    return judged.join(repeated, "transaction_id", "left_anti").select("row_id", "outcome", "dq_flag")
+@query("FLT3 FLT5 FLT14 PRJ3 SNK5 DQ3", f"WITH {_SILVER} SELECT row_id, outcome, dq_flag FROM tj")
+def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The one outcome of every row."""
+    return _judged(spark, sf_dir)[0].select("row_id", "outcome", "dq_flag")
 
 
-@query("DQ3 AGG5", f"WITH {_SILVER} SELECT 'duplicate' AS kind, CAST(sum(n - 1) AS BIGINT) AS n FROM tn UNION ALL SELECT 'all', count(*) FROM t0")
+@query("DQ3 AGG5 SNK5", f"WITH {_SILVER} SELECT outcome, count(*) AS n FROM tj GROUP BY 1")
 def reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged, _ = _judged(spark, sf_dir)
-    counts = quality.reconcile(judged)
-    total = counts.agg(F.lit("all").alias("kind"), F.sum("n").alias("n"))
-    return counts.where("outcome = 'duplicate'").select(F.col("outcome").alias("kind"), "n").unionByName(total)
+    return quality.reconcile(_judged(spark, sf_dir)[0])
+
 
+_MARK = "SELECT '{0}' AS issue, count(*) FILTER (WHERE {1}) AS affected, count(*) AS denominator, count(*) FILTER (WHERE {2}) AS output FROM tj"
 
-@query("DQ1 DQ2 DQ3 AGG1 AGG2 AGG9", None)
+
+@query("DQ1 DQ2 DQ3 AGG1 AGG2", f"WITH {_SILVER} " + " UNION ALL ".join([
+    _MARK.format("DUPLICATE_DEDUPED", "outcome = 'duplicate'", "outcome <> 'duplicate'"), _MARK.format("ORPHANED_ACCOUNT", "outcome = 'orphan'", "false"),
+    _MARK.format("TYPE_MISMATCH", "unreadable", "false"), _MARK.format("DATE_FORMAT", "date_variant", "outcome = 'valid' AND dq_flag = 'DATE_FORMAT'"),
+    _MARK.format("CURRENCY_VARIANT", "currency_variant", "outcome = 'valid' AND dq_flag = 'CURRENCY_VARIANT'"),
+    "SELECT 'NULL_REQUIRED', count(*) FILTER (WHERE reason = 'NULL_REQUIRED'), count(*), CAST(0 AS BIGINT) FROM aj WHERE reason IS NOT NULL",
+]))
 def dq_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged, accounts = _judged(spark, sf_dir)
     return quality.issue_counts(judged, accounts.rejected)
 
 
-@query("J4 J5 PRJ5 PRJ12", f"""WITH {_SILVER} SELECT t1.transaction_id, t1.account_id, sa.customer_ref AS customer_id, t1.transaction_type, t1.amount, t1.currency, coalesce(sc.province, t1.province) AS province
-FROM t1 JOIN sa ON t1.account_id = sa.account_id JOIN sc ON sa.customer_ref = sc.customer_id WHERE n = 1 AND {_OUTCOME.replace("account_id", "t1.account_id", 1).replace("WHEN account_id NOT", "WHEN t1.account_id NOT").replace("transaction_id IS", "t1.transaction_id IS")} = 'valid'""")
-def fact_of_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("J4 J5 PRJ5 PRJ12", f"WITH {_SILVER} SELECT transaction_id, account_id, customer_id, transaction_date, transaction_type, amount, currency, channel, province, dq_flag FROM ft")
+def fact_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact table, its surrogate keys resolved to the natural ones."""
     gold = medallion.build(*_tables(spark, sf_dir), SETTINGS)
-    fact = gold["gold/fact_transactions"].join(gold["gold/dim_accounts"].select("account_sk", "account_id", "customer_id"), "account_sk")
-    repeated = table(spark, sf_dir, "transactions").groupBy(identifier(F.col("transaction_id")).alias("transaction_id")).agg(F.count(F.lit(1)).alias("n")).where("n > 1 and transaction_id is not null").select("transaction_id")
-    return fact.join(repeated, "transaction_id", "left_anti").select("transaction_id", "account_id", "customer_id", "transaction_type", "amount", "currency", "province")
+    keys = gold["gold/dim_accounts"].select("account_sk", "account_id", "customer_id")
+    return gold["gold/fact_transactions"].join(keys, "account_sk").select("transaction_id", "account_id", "customer_id", "transaction_date", "transaction_type", "amount", "currency", "channel", "province", "dq_flag")
 
 
 def _gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -341,11 +346,11 @@ def _validation(name: str) -> Query:
     return run
 
 
-query("AGG23 SET4 Q0")(_validation("row_counts"))
-query("AGG21 WIN8 SRT1 Q1")(_validation("volume_by_type"))
-query("J12 Q2", "SELECT CAST(0 AS BIGINT) AS n")(_validation("unlinked_accounts"))
+query("AGG23 SET4 Q0", f"WITH {_SILVER} SELECT 'dim_accounts' AS table_name, count(*) AS n FROM sa UNION ALL SELECT 'dim_customers', count(*) FROM sc UNION ALL SELECT 'fact_transactions', count(*) FROM ft")(_validation("row_counts"))
+query("AGG21 WIN8 SRT1 Q1", f"WITH {_SILVER} SELECT transaction_type, count(*) AS n, sum(amount) AS total, CAST(round(count(*) * 100.0 / sum(count(*)) OVER (), 2) AS DOUBLE) AS pct FROM ft GROUP BY 1")(_validation("volume_by_type"))
+query("J12 Q2", f"WITH {_SILVER} SELECT count(*) AS n FROM sa LEFT JOIN sc ON sa.customer_ref = sc.customer_id WHERE sc.customer_id IS NULL")(_validation("unlinked_accounts"))
 query("J13 AGG22 SRT1 Q3", f"WITH {_SILVER} SELECT sc.province, count(DISTINCT account_id) AS n FROM sa JOIN sc ON sa.customer_ref = sc.customer_id GROUP BY 1")(_validation("accounts_per_province"))
-query("AGG23 SET4 Q4")(_validation("flagged_vs_clean"))
+query("AGG23 SET4 Q4", f"WITH {_SILVER} SELECT CASE WHEN dq_flag IS NULL THEN 'clean' ELSE 'flagged' END AS kind, count(*) AS n FROM ft GROUP BY 1")(_validation("flagged_vs_clean"))
 
 
 @query("AGG21 WIN8 SRT1", "SELECT l_returnflag AS kind, l_linestatus AS status, count(*) AS n, CAST(sum(l_quantity) AS DOUBLE) AS quantity, round(count(*) * 100.0 / sum(count(*)) OVER (), 2) :: DOUBLE AS pct FROM lineitem GROUP BY 1, 2 ORDER BY 1, 2")
@@ -369,7 +374,6 @@ def _blank_metrics(*columns: str) -> dict[str, str]:
     return {f"blank_{c.split('.')[-1]}": _blank(c) for c in columns}
 
 
-_CAST = "TRY_CAST(nullif(trim({0}), '') AS DECIMAL(18,2))"
 _AS_OF = f"DATE '{SETTINGS.as_of}'"
 
 
@@ -383,12 +387,32 @@ def profile_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.long_form(table(spark, sf_dir, "customers"), profile.customer_metrics(SETTINGS))
 
 
-@query("PRF3 AGG3 FLT11 FLT12 FLT13", None)
+@query("PRF3 AGG3 FLT11 FLT12 FLT13", _long(
+    f"SELECT *, {_date('open_date')} AS o, {_date('last_activity_date')} AS l, {_amount('current_balance')} AS b, {_amount('credit_limit')} AS lim, upper(trim(account_type)) AS kind FROM accounts",
+    {"rows": "=count(*)", "distinct_account_ids": f"=count(DISTINCT CASE WHEN NOT {_blank('account_id')} THEN trim(account_id) END)"}
+    | _blank_metrics("account_id", "customer_ref", "mobile_number") | _domain_predicates("accounts")
+    | {"open_date_unreadable": f"NOT {_blank('open_date')} AND o IS NULL", "last_activity_date_unreadable": f"NOT {_blank('last_activity_date')} AND l IS NULL", "future_open_date": f"o > {_AS_OF}", "activity_before_opening": "l < o",
+       "current_balance_unreadable": f"NOT {_blank('current_balance')} AND b IS NULL", "credit_limit_unreadable": f"NOT {_blank('credit_limit')} AND lim IS NULL", "negative_balance": "b < 0", "extreme_balance": "abs(b) > 250000", "negative_limit": "lim < 0",
+       "limit_without_credit": f"kind <> 'CREDIT' AND NOT {_blank('credit_limit')}", "credit_without_limit": "kind = 'CREDIT' AND coalesce(lim <= 0, true)"},
+))
 def profile_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.long_form(table(spark, sf_dir, "accounts"), profile.account_metrics(SETTINGS))
 
 
-@query("PRF1 PRF2 AGG3 FLT11 FLT12", None)
+_BIG = f"SELECT t.*, g.c, g.p, g.lat, g.lon, {_amount('amount')} AS a, {_date('transaction_date')} AS d, {_stamp('transaction_date', 'transaction_time')} AS stamp, {_clean('currency')} AS cc, upper(trim(currency)) AS cu FROM transactions t JOIN ({_GEO}) g USING (row_id)"
+
+
+@query("PRF1 PRF2 AGG3 FLT11 FLT12", _long(
+    _BIG,
+    {"rows": "=count(*)", "distinct_transaction_ids": f"=count(DISTINCT CASE WHEN NOT {_blank('transaction_id')} THEN trim(transaction_id) END)"}
+    | _blank_metrics("transaction_id", "account_id", "transaction_date", "transaction_time", "amount", "location.province", "merchant_subcategory", "location.coordinates")
+    | {"amount_unreadable": f"NOT {_blank('amount')} AND a IS NULL", "negative_amount": "a < 0", "zero_amount": "a = 0", "extreme_amount": "a > 50000", "transaction_date_unreadable": f"NOT {_blank('transaction_date')} AND d IS NULL",
+       "transaction_time_unreadable": f"NOT {_blank('transaction_time')} AND stamp IS NULL", "future_transaction_date": f"d > {_AS_OF}", "retry_flagged": "metadata.retry_flag"}
+    | _domain_predicates("transactions")
+    | {"currency_present": f"NOT {_blank('currency')}", "currency_variant": _alias("currency"), "currency_iso_candidate": "regexp_full_match(cu, '[A-Z]{3}')", "currency_numeric_candidate": "regexp_full_match(cu, '[0-9]{3}')",
+       "currency_conversion_required": f"NOT {_blank('currency')} AND cc <> 'ZAR'", "currency_conversion_ready": f"NOT {_blank('currency')} AND cc <> 'ZAR' AND regexp_full_match(cu, '[A-Z]{{3}}|[0-9]{{3}}')", "currency_unknown": f"NOT {_blank('currency')} AND cc <> 'ZAR' AND NOT regexp_full_match(cu, '[A-Z]{{3}}|[0-9]{{3}}')"}
+    | {f"geo_{k.lower()}": v for k, v in _FLAGS.items()},
+))
 def profile_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.long_form(table(spark, sf_dir, "transactions"), profile.transaction_metrics(SETTINGS))
 
@@ -458,7 +482,8 @@ def dense_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.dense_patterns(table(spark, sf_dir, "transactions"), ["account_id", "transaction_type", "channel"], SETTINGS.repeat_pattern)
 
 
-@query("PRF5 J6 J7 J8 J9", None)
+@query("PRF5 J6 J7 J8 J9", f"""SELECT CASE kind WHEN 'accounts' THEN 'accounts_with_unknown_customer' ELSE 'transactions_with_unknown_account' END AS metric, count(*) AS n FROM ({ORACLES['orphan_anti']}) GROUP BY 1
+UNION ALL SELECT 'transactions_in_another_province', count(*) FROM ({ORACLES['province_mismatch']})""")
 def profile_cross(spark: SparkSession, sf_dir: str) -> DataFrame:
     c, a, t = _tables(spark, sf_dir)
     parts = {
