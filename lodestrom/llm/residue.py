@@ -195,7 +195,10 @@ def host_evidence(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", h
     totals = rows.groupBy("site").agg(F.count(F.lit(1)).alias("docs"))
     wanted = short.join(spread, "skeleton", "left_semi").select("site", F.explode(terms(F.col("line"))).alias("term")).distinct()
     held = rows.select("site", F.explode(terms(F.col("text"))).alias("term")).groupBy("site", "term").agg(F.count(F.lit(1)).alias("n"))
-    rare = wanted.join(held, ["site", "term"]).join(totals, "site").select("site", "term", (F.col("n") < F.greatest(F.lit(3.0), F.col("docs") * RARE)).alias("rare"))
-    scored = short.join(spread, "skeleton").withColumn("term", F.explode(terms(F.col("line")))).join(rare, ["site", "term"])
-    judged = scored.groupBy("doc_id", "skeleton", "hosts").agg(F.avg(F.col("rare").cast("double")).alias("mismatch"))
+    # a term is rare if hardly any other document of the site holds it than those with this very line
+    own = short.join(spread, "skeleton", "left_semi").groupBy("skeleton", "site").agg(F.count_distinct("doc_id").alias("own"))
+    counted = wanted.join(held, ["site", "term"]).join(totals, "site")
+    scored = short.join(spread, "skeleton").join(own, ["skeleton", "site"]).withColumn("term", F.explode(terms(F.col("line")))).join(counted, ["site", "term"])
+    rare = (F.col("n") - F.col("own")) < F.greatest(F.lit(3.0), F.col("docs") * RARE)
+    judged = scored.groupBy("doc_id", "skeleton", "hosts").agg(F.avg(rare.cast("double")).alias("mismatch"))
     return judged.where(F.col("mismatch") >= RARE_SHARE).select("doc_id", F.lit("duplicated_response").alias("kind"), F.col("skeleton").alias("evidence"))
