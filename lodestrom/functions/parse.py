@@ -22,14 +22,16 @@ def parse_date(col: Column, strict: bool = False) -> Column:
     seconds = s.try_cast("double").try_cast("long")
     epoch = F.when(s.rlike(r"^[0-9]{13}$"), F.floor(s.try_cast("long") / 1000)).when(s.rlike(r"^[0-9]{9,10}$" if strict else _NUMBER), seconds)
     day = F.when(epoch.between(-62135596800, 253402300799), F.to_date(F.timestamp_seconds(epoch)))
-    return F.when(s.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.try_to_date(s, "yyyy-MM-dd")).when(s.rlike(r"^[0-9]{2}/[0-9]{2}/[0-9]{4}$"), F.try_to_date(s, "dd/MM/yyyy")).otherwise(day)
+    turned = F.concat_ws("-", F.substring(s, 7, 4), F.substring(s, 4, 2), F.substring(s, 1, 2))
+    return F.when(s.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), s.try_cast("date")).when(s.rlike(r"^[0-9]{2}/[0-9]{2}/[0-9]{4}$"), turned.try_cast("date")).otherwise(day)
 
 
 def parse_timestamp(date_col: Column, time_col: Column, strict: bool = False) -> Column:
     """The parsed date with a HH:mm:ss time; a null time is midnight, an unreadable one gives null."""
     t = F.coalesce(F.trim(time_col), F.lit("00:00:00"))
     fine = t.rlike(r"^([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]$")
-    return F.when(fine, F.try_to_timestamp(F.concat_ws(" ", F.date_format(parse_date(date_col, strict), "yyyy-MM-dd"), t), F.lit("yyyy-MM-dd HH:mm:ss")))
+    part = lambda at: F.substring(t, at, 2).try_cast("int")
+    return F.when(fine, F.timestamp_seconds(F.unix_date(parse_date(date_col, strict)).cast("long") * 86_400 + part(1) * 3_600 + part(4) * 60 + part(7)))
 
 
 def is_date_variant(col: Column, strict: bool = False) -> Column:

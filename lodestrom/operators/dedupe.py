@@ -15,10 +15,12 @@ from lodestrom.operators.joins import hot_keys
 SALTS = 32
 
 
-def _total_order(order: list[Column]) -> Column:
-    """The given order (nulls last), then the whole row as text, so that ties are settled the same way in every run."""
+def _total_order(order: list[Column], total: bool = False) -> Column:
+    """The given order (nulls last) and, unless it is total already, the whole row as text, so that ties are settled the
+    same way in every run."""
     keyed = [part for c in order for part in (c.isNull(), c)]
-    return F.struct(*(c.alias(f"o{i}") for i, c in enumerate(keyed)), F.to_json(F.struct("*")).alias("row"))
+    rest = [] if total else [F.to_json(F.struct("*")).alias("row")]
+    return F.struct(*(c.alias(f"o{i}") for i, c in enumerate(keyed)), *rest)
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -38,17 +40,20 @@ def keep_first_window(df: DataFrame, keys: list[str], order: list[Column]) -> Da
     return ranked.where("_rn = 1").drop("_rn")
 
 
-def mark_first(df: DataFrame, key: str, order: list[Column], out: str = "_first", share: float = 0.01, floor: int = 100_000) -> DataFrame:
-    """``df`` with a boolean ``out``: whether a row is the first of its key; null where the key is null."""
+def mark_first(df: DataFrame, key: str, order: list[Column], out: str = "_first", total: bool = False, share: float = 0.01, floor: int = 100_000) -> DataFrame:
+    """``df`` with a boolean ``out``: whether a row is the first of its key; null where the key is null.
+
+    ``total`` says that the order settles every tie (it ends in a unique column).
+    """
     columns = df.columns
     hot = hot_keys(df.select(key), key, share, floor).withColumn("_hot", F.lit(True))
-    placed = _total_order(order)
+    placed = _total_order(order, total)
     rows = df.withColumn("_order", placed).join(F.broadcast(hot), key, "left")  # at most 1/share keys
     # equal rows share a salt, so that only one of them can be first
     salt = F.when(F.col("_hot"), F.pmod(F.xxhash64("_order"), F.lit(SALTS))).otherwise(0)
     local = F.row_number().over(Window.partitionBy(key, "_salt").orderBy("_order"))
     ranked = rows.withColumn("_salt", salt).withColumn("_rn", local)
-    of_hot = df.withColumn("_order", placed).join(F.broadcast(hot.drop("_hot")), key, "left_semi").groupBy(key).agg(F.min("_order").alias("_least"))
+    of_hot = df.join(F.broadcast(hot.drop("_hot")), key, "left_semi").withColumn("_order", placed).groupBy(key).agg(F.min("_order").alias("_least"))
     told = ranked.join(F.broadcast(of_hot), key, "left")
     first = (F.col("_rn") == 1) & F.coalesce(F.col("_order") == F.col("_least"), F.lit(True))
     return told.select(*columns, F.when(F.col(key).isNotNull(), first).alias(out))

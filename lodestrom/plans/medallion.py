@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestrom import scratch
 from lodestrom.config import REQUIRED_TRANSACTION_FIELDS, Settings
 from lodestrom.functions import currency, geo
 from lodestrom.functions.amounts import amount as readable_amount
@@ -39,10 +40,15 @@ def null_if_blank(col: Column) -> Column:
     return F.when(~is_blank(col), col)
 
 
+def arrival_order(bronze: DataFrame) -> tuple[list[Column], bool]:
+    """How the rows of a table arrived, as far as it says, and whether that order is total."""
+    return [F.col(c) for c in ("loaded_at", "row_id") if c in bronze.columns], "row_id" in bronze.columns
+
+
 def silver_customers(bronze: DataFrame) -> Split:
     """One typed row per customer id; surplus rows and rows without an id are rejected with a reason."""
-    order = [F.col(c) for c in ("loaded_at", "row_id") if c in bronze.columns]
-    ranked = mark_first(bronze.withColumn("customer_id", identifier(F.col("customer_id"))), "customer_id", order)
+    order, total = arrival_order(bronze)
+    ranked = mark_first(bronze.withColumn("customer_id", identifier(F.col("customer_id"))), "customer_id", order, total=total)
     reason = F.when(F.col("customer_id").isNull(), "NULL_REQUIRED").when(~F.col("_first"), "DUPLICATE_DEDUPED")
     kept = ranked.where(reason.isNull()).select(
         "customer_id", "gender", "province", "income_band", "segment", F.col("risk_score").try_cast("double").cast("int").alias("risk_score"), "kyc_status",
@@ -53,9 +59,9 @@ def silver_customers(bronze: DataFrame) -> Split:
 
 def silver_accounts(bronze: DataFrame, customers: DataFrame) -> Split:
     """One typed row per account id that belongs to a known customer; all others are rejected with a reason."""
-    order = [F.col(c) for c in ("loaded_at", "row_id") if c in bronze.columns]
+    order, total = arrival_order(bronze)
     keyed = bronze.withColumns({"account_id": identifier(F.col("account_id")), "customer_ref": identifier(F.col("customer_ref"))})
-    ranked = mark_first(keyed, "account_id", order)
+    ranked = mark_first(keyed, "account_id", order, total=total)
     owners = customers.select(F.col("customer_id").alias("customer_ref"), F.lit(True).alias("_owned"))
     met = skew_safe_join(ranked, owners, "customer_ref", "left", right_bytes=64)
     reason = F.when(F.col("account_id").isNull(), "NULL_REQUIRED").when(~F.col("_first"), "DUPLICATE_DEDUPED").when(F.col("_owned").isNull(), "UNKNOWN_CUSTOMER")
@@ -76,7 +82,7 @@ def typed_transactions(bronze: DataFrame) -> DataFrame:
     value = readable_amount(F.col("amount"))
     quoted = F.coalesce("amount_was_quoted", is_quoted_amount(F.col("raw_json")))
     return rows.select(
-        *(c for c in ("row_id",) if c in rows.columns),
+        *(c for c in ("row_id", "_first") if c in rows.columns),
         identifier(F.col("transaction_id")).alias("transaction_id"),
         identifier(F.col("account_id")).alias("account_id"),
         parse_date(F.col("transaction_date")).alias("transaction_date"),
@@ -102,12 +108,15 @@ def dq_flag() -> Column:
     return F.when(F.col("amount_quoted"), "TYPE_MISMATCH").when(F.col("date_variant"), "DATE_FORMAT").when(F.col("currency_variant"), "CURRENCY_VARIANT")
 
 
-def judged_transactions(typed: DataFrame, accounts: DataFrame) -> DataFrame:
+def judged_transactions(bronze: DataFrame, accounts: DataFrame) -> DataFrame:
     """Every row with its ``outcome``; ids are kept at their first time, rows without an id are never duplicates.
 
-    Hot ids are spread over salts, see :func:`lodestrom.operators.dedupe.mark_first`.
+    Hot ids are spread over salts, see :func:`lodestrom.operators.dedupe.mark_first`; the rest is typed after that, once.
     """
-    ranked = mark_first(typed, "transaction_id", [F.col(c) for c in ("transaction_timestamp", "row_id") if c in typed.columns])
+    total = "row_id" in bronze.columns
+    order = [parse_timestamp(F.col("transaction_date"), F.col("transaction_time")), *([F.col("row_id")] if total else [])]
+    keyed = bronze.withColumn("transaction_id", identifier(F.col("transaction_id")))
+    ranked = typed_transactions(mark_first(keyed, "transaction_id", order, total=total))
     known = accounts.select("account_id", F.lit(True).alias("_known")).where("account_id is not null")
     met = skew_safe_join(ranked, known, "account_id", "left", right_bytes=64)
     missing = F.lit(False)
@@ -149,11 +158,20 @@ def fact_transactions(silver: DataFrame, accounts: DataFrame, customers: DataFra
     return met.withColumns({"transaction_sk": surrogate_key(F.col("transaction_id")), "province": F.coalesce("_home", "province")}).select(*FACT)
 
 
-def build(customers: DataFrame, accounts: DataFrame, transactions: DataFrame, settings: Settings) -> dict[str, DataFrame]:
-    """All silver and gold tables and the quarantines by name."""
+def judge(customers: DataFrame, accounts: DataFrame, transactions: DataFrame) -> tuple[Split, Split, DataFrame]:
+    """Silver customers and accounts, and the judged transactions, each written once: later steps read what was written,
+    so that no step is computed twice and the sizes that decide on broadcasts are counted from files."""
     c = silver_customers(customers)
+    c = Split(scratch.materialise(c.valid, "silver-customers"), c.rejected)
     a = silver_accounts(accounts, c.valid)
-    t = silver_transactions(judged_transactions(typed_transactions(transactions), a.valid))
+    a = Split(scratch.materialise(a.valid, "silver-accounts"), a.rejected)
+    return c, a, scratch.materialise(judged_transactions(transactions, a.valid), "judged-transactions")
+
+
+def build(customers: DataFrame, accounts: DataFrame, transactions: DataFrame, settings: Settings) -> dict[str, DataFrame]:
+    """All silver and gold tables and the quarantines by name."""
+    c, a, judged = judge(customers, accounts, transactions)
+    t = silver_transactions(judged)
     dims_c, dims_a = dim_customers(c.valid, settings), dim_accounts(a.valid)
     return {
         "silver/customers": c.valid, "silver/accounts": a.valid, "silver/transactions": t.valid,

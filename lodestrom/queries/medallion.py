@@ -295,9 +295,8 @@ def dim_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _judged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, medallion.Split]:
-    c, a, t = _tables(spark, sf_dir)
-    accounts = medallion.silver_accounts(a, medallion.silver_customers(c).valid)
-    return medallion.judged_transactions(medallion.typed_transactions(t), accounts.valid), accounts
+    _, accounts, judged = medallion.judge(*_tables(spark, sf_dir))
+    return judged, accounts
 
 
 @query("FLT3 FLT5 FLT14 PRJ3 SNK5 DQ3", f"WITH {_SILVER} SELECT row_id, outcome, dq_flag FROM tj")

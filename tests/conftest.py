@@ -16,7 +16,7 @@ DATA = Path("/root/testdata/sf0.001")
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests", "local[4]", cores=4, **{"spark.driver.memory": "3g", "spark.ui.showConsoleProgress": "false"})
+    session = build_session("tests", "local[4]", cores=2, **{"spark.driver.memory": "3g", "spark.ui.showConsoleProgress": "false"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -96,16 +96,16 @@ LINES = [
 ]
 
 
-@pytest.fixture
-def gold(spark, tmp_path):
+@pytest.fixture(scope="module")
+def gold(spark, tmp_path_factory):
+    tmp_path = tmp_path_factory.mktemp("gold")
     (tmp_path / "t.jsonl").write_text("\n".join(LINES))
     customers = spark.createDataFrame([("cust1", "Gauteng", "1980-01-01", "5", "M"), ("cust1", "Limpopo", "1980-01-01", "5", "M"), (None, "x", None, None, None)], "customer_id string, province string, dob string, risk_score string, gender string")
     customers = files.with_missing(customers, {c: "string" for c in files.CUSTOMER_COLUMNS})
     accounts = spark.createDataFrame([("acc1", "cust1", "100.00"), ("acc1", "cust1", "100.00"), (None, "cust1", "1"), ("acc2", "unknown", "1")], "account_id string, customer_ref string, current_balance string")
     accounts = files.with_missing(accounts, {c: "string" for c in files.ACCOUNT_COLUMNS})
     transactions = files.read_transactions(spark, str(tmp_path / "t.jsonl"), F.lit("2024-01-06").cast("timestamp"))
-    split = medallion.silver_accounts(accounts, medallion.silver_customers(customers).valid)
-    judged = medallion.judged_transactions(medallion.typed_transactions(transactions), split.valid)
+    _, split, judged = medallion.judge(customers, accounts, transactions)
     return medallion.build(customers, accounts, transactions, Settings()), judged, split
 
 
