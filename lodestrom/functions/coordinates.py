@@ -14,6 +14,7 @@ LAT_RANGE, LON_RANGE = (-35.0, -22.0), (16.0, 33.0)
 _NUM = r"[+-]?[0-9]{1,3}(?:\.[0-9]+)?"
 _PART = r"([NSEW])?\s*([+-]?[0-9]{1,3}(?:\.[0-9]+)?)(?:\s*[°º]\s*(?:([0-9]{1,2}(?:\.[0-9]+)?)\s*['′’]\s*(?:([0-9]{1,2}(?:\.[0-9]+)?)\s*(?:[\"″”]|'')\s*)?)?)?\s*([NSEW])?"
 _PAIR = rf"^{_PART}(?:\s*[,;]\s*|\s+|(?<=[NSEW])(?=[NSEW]))_PART_\z".replace("_PART_", _PART)
+_PLAIN = rf"^{_NUM} ?, ?{_NUM}\z"
 _WKT = rf"^POINT\s*\(\s*({_NUM})\s+({_NUM})\s*\)\z"
 #: One pass turns a text into its ten parts, each between bars, so that one regular expression is run once per row.
 _SPLIT = "|".join(f"${i}" for i in range(1, 11))
@@ -36,6 +37,16 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def _point(s: Column) -> Column:
+    """The common notation first, because it needs the simplest pattern; then all others."""
+    plain = let(F.split(s, ","), lambda w: _within(F.struct(F.trim(F.get(w, 0)).try_cast("double").alias("lat"), F.trim(F.get(w, 1)).try_cast("double").alias("lon"))))
+    return F.when(s.rlike(_PLAIN), plain).otherwise(_any_point(s))
+
+
+def _within(f: Column) -> Column:
+    return let(f, lambda p: F.when(p["lat"].between(*LAT_RANGE) & p["lon"].between(*LON_RANGE), p))
+
+
+def _any_point(s: Column) -> Column:
     bare = F.regexp_replace(s, r"^\(\s*(.*?)\s*\)\z", "$1")
     pair = lambda t: F.when(t.rlike(_PAIR), F.split(F.regexp_replace(t, _PAIR, _SPLIT), r"\|", -1))
     parts = let(let(bare, lambda t: F.when(t.contains(";"), F.translate(t, ",", ".")).otherwise(t)), pair)
@@ -58,7 +69,7 @@ def _point(s: Column) -> Column:
         return F.when(plain, as_point(v1, v2)).when(l1.isin("E", "W") & l2.isin("N", "S"), as_point(v2, v1))
 
     found = let(let(parts, lambda p: F.when(p.isNotNull(), F.array(number(p, 0), number(p, 1)))), ordered)
-    return let(F.coalesce(from_wkt, found), lambda f: F.when(f["lat"].between(*LAT_RANGE) & f["lon"].between(*LON_RANGE), f))
+    return _within(F.coalesce(from_wkt, found))
 
 
 def with_points(df: DataFrame, text: Column) -> DataFrame:
