@@ -78,7 +78,7 @@ def normalise_instants(df: DataFrame, date_col: str, time_col: str | None = None
 
     For a text that states only a date and has no time column, the instant is that date's midnight.
     """
-    if taken := {out, f"{out}_date", "_d_text", "_t_text"} & set(df.columns):
+    if taken := {out, f"{out}_date", "_d", "_t", "_d_text", "_t_text"} & set(df.columns):
         raise ValueError(f"columns exist already: {sorted(taken)}")
     dictionary = dictionary or StampDictionary(df.sparkSession)
     clock = F.col(time_col) if time_col else F.lit(None).cast("string")

@@ -16,8 +16,8 @@ Defined results
 ---------------
 * Points without coordinates, and places without position, radius or at least three corners, match nothing. NaN is no
   position. A ring may repeat its first corner at the end. Longitudes must not cross the date line.
-* Repeated points each match; a repeated place matches once. Empty tables give empty results. Clashing names are
-  impossible: points need ``point_id, lat, lon`` and every column of the result is one of these or ``place_id``.
+* Repeated points each match; a repeated place matches once. Empty tables give empty results. Points need ``lat, lon``; all
+  their other columns are carried in one struct, so that no name can clash, but for ``place_id``, which is replaced.
 """
 
 from __future__ import annotations
@@ -57,16 +57,21 @@ def _touches(e: Column, lat: Column, lon: Column) -> Column:
     return within & ((lon - e["x1"]) * (e["y2"] - e["y1"]) == (lat - e["y1"]) * (e["x2"] - e["x1"]))
 
 
+def _packed(points: DataFrame) -> DataFrame:
+    """``_point`` (the whole row), ``lat`` and ``lon`` of the points that have a position."""
+    return points.where("lat is not null and lon is not null").select(F.struct(*(F.col(f"`{c}`") for c in points.columns if c != "place_id")).alias("_point"), F.col("lat").cast("double").alias("lat"), F.col("lon").cast("double").alias("lon"))
+
+
 def points_in_regions(points: DataFrame, regions: DataFrame, height: float = STRIP_DEG) -> DataFrame:
     """The columns of ``points`` (with ``lat, lon``) and ``place_id`` of each region that contains the point."""
     strips = scratch.materialise(region_strips(regions, height), "region-strips")
     size = strips.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("edges")).alias("e")).first()
     side = broadcast_if_small(strips, max(1, size["e"] or 0), 120)
-    met = points.where("lat is not null and lon is not null").withColumn("strip", _strip(F.col("lat"), height)).join(side, "strip")
+    met = _packed(points).withColumn("strip", _strip(F.col("lat"), height)).join(side, "strip")
     lat, lon = F.col("lat"), F.col("lon")
     crossings = F.size(F.filter("edges", lambda e: F.coalesce(_crosses(e, lat, lon), F.lit(False))))
     on_edge = F.exists("edges", lambda e: _touches(e, lat, lon))
-    return met.where((crossings % 2 == 1) | on_edge).drop("strip", "edges")
+    return met.where((crossings % 2 == 1) | on_edge).select("_point.*", "place_id")
 
 
 def _level(radius: Column) -> Column:
@@ -88,7 +93,7 @@ def points_near(points: DataFrame, centres: DataFrame) -> DataFrame:
     cells = scratch.materialise(cells, "centre-cells")
     levels = sorted(r[0] for r in cells.select("level").distinct().collect())  # logarithm of the largest radius: a handful
     side = broadcast_if_small(cells, cells.count(), 80)
-    at = points.where("lat is not null and lon is not null").withColumn("level", F.explode(F.array(*map(F.lit, levels or [0]))))
+    at = _packed(points).withColumn("level", F.explode(F.array(*map(F.lit, levels or [0]))))
     at = at.withColumns({"cy": _cell(F.col("lat"), F.col("level")), "cx": _cell(F.col("lon"), F.col("level"))})
     reach = sphere_distance(F.col("lat"), F.col("lon"), F.col("c_lat"), F.col("c_lon")) <= F.col("radius_m")
-    return at.join(side, ["level", "cy", "cx"]).where(reach).drop("level", "cy", "cx", "c_lat", "c_lon", "radius_m")
+    return at.join(side, ["level", "cy", "cx"]).where(reach).select("_point.*", "place_id")

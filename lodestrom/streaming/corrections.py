@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from lodestrom.operators import lateness
 from lodestrom.sources.store import Store
@@ -34,3 +35,10 @@ def apply_batch(store: Store, batch: DataFrame, batch_id: int, record: str, even
     store.overwrite(kept.unionByName(revised), STATE, batch_id=batch_id)
     store.overwrite(lateness.diverted(judged), DIVERTED, batch_id=batch_id)
     store.overwrite(both, FIRST, batch_id=batch_id)
+
+
+def start(stream: DataFrame, store: Store, checkpoint: str, record: str, event: str, arrival: str, key: str, amount: str) -> StreamingQuery:
+    """Run a stream of records into the store until nothing is left to read. A batch rewrites the store's three tables as
+    new versions, which suits states that fit a rewrite per batch; larger ones need longer batches."""
+    writer = stream.writeStream.option("checkpointLocation", checkpoint)
+    return writer.foreachBatch(lambda df, i: apply_batch(store, df, i, record, event, arrival, key, amount)).trigger(availableNow=True).start()

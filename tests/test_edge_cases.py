@@ -84,6 +84,14 @@ def test_near_points_at_all_radii(spark):
     assert rows(proximity.points_near(at, centres), "point_id", "place_id") == sorted([("same", "tiny"), ("same", "near"), ("same", "wide"), ("1km", "near"), ("1km", "wide"), ("2km", "wide"), ("100km", "wide")])
 
 
+def test_clashing_names_of_points(spark):
+    at = points(spark, ("in", 1.0, 1.0)).selectExpr("*", "'x' as edges", "'y' as strip", "'z' as level", "1 as c_lat", "'old' as place_id", "2 as `a.b`")
+    found = proximity.points_in_regions(at, regions(spark, ("square", RING)))
+    assert found.first().asDict() == {"point_id": "in", "lat": 1.0, "lon": 1.0, "edges": "x", "strip": "y", "level": "z", "c_lat": 1, "a.b": 2, "place_id": "square"}
+    centre = spark.createDataFrame([("c", 1.0, 1.0, 5.0)], "place_id string, c_lat double, c_lon double, radius_m double")
+    assert proximity.points_near(at, centre).first().asDict() == found.first().asDict() | {"place_id": "c"}
+
+
 def test_places_of_empty_tables(spark):
     none = points(spark)
     centres = spark.createDataFrame([], "place_id string, c_lat double, c_lon double, radius_m double")

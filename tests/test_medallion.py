@@ -250,6 +250,11 @@ def test_corrections_by_batch_equal_all_at_once(spark, tmp_path):
     got = {(r.key, r.period_start.astimezone(UTC).day): (r.n, r.total) for r in store.read(corrections.STATE).collect()}
     assert got == {("k", 1): (2, Decimal(3)), ("m", 2): (1, Decimal(8))}
     assert rows(store.read(corrections.DIVERTED), "record") == [("3",)]
+    df.repartition(3).write.parquet(str(tmp_path / "in"))
+    streamed = Store(spark, str(tmp_path / "streamed"))
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    corrections.start(stream, streamed, str(tmp_path / "check"), "id", "event", "arrival", "k", "v").awaitTermination()
+    assert rows(streamed.read(corrections.STATE), "key", "n", "total") == rows(store.read(corrections.STATE), "key", "n", "total")
 
 
 def test_watermarked_windows(spark, tmp_path):
