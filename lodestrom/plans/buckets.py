@@ -12,7 +12,7 @@ import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestrom.config import Settings
@@ -39,9 +39,12 @@ def preflight(input_bytes: int, fingerprint: str, settings: Settings) -> Preflig
     return Preflight(input_bytes, max(1, min(settings.most_buckets, math.ceil(input_bytes / settings.bucket_bytes))), fingerprint)
 
 
-def ingest(df: DataFrame, key: str, plan: Preflight, store: Store, table: str) -> None:
-    """Write the input once, partitioned by bucket; rows of a bucket are gathered so that each writes few files."""
-    store.overwrite(df.withColumn(BUCKET, bucket_of(F.col(key), plan.buckets)).repartition(plan.buckets, BUCKET), table, partition_by=[BUCKET])
+def ingest(df: DataFrame, key: str | Column, plan: Preflight, store: Store, table: str) -> None:
+    """Write the input once, partitioned by bucket; rows of a bucket are gathered so that each writes few files.
+
+    ``key`` must be what rows are compared by: where spellings of one id differ, its normal form.
+    """
+    store.overwrite(df.withColumn(BUCKET, bucket_of(F.col(key) if isinstance(key, str) else key, plan.buckets)).repartition(plan.buckets, BUCKET), table, partition_by=[BUCKET])
 
 
 def schedule(buckets: int, manifest: dict, weights: dict[int, float] | None = None) -> list[int]:
