@@ -168,9 +168,8 @@ def judge(customers: DataFrame, accounts: DataFrame, transactions: DataFrame) ->
     return c, a, scratch.materialise(judged_transactions(transactions, a.valid), "judged-transactions")
 
 
-def build(customers: DataFrame, accounts: DataFrame, transactions: DataFrame, settings: Settings) -> dict[str, DataFrame]:
-    """All silver and gold tables and the quarantines by name."""
-    c, a, judged = judge(customers, accounts, transactions)
+def tables(c: Split, a: Split, judged: DataFrame, settings: Settings) -> dict[str, DataFrame]:
+    """All silver and gold tables and the quarantines by name, of what :func:`judge` gives."""
     t = silver_transactions(judged)
     dims_c, dims_a = dim_customers(c.valid, settings), dim_accounts(a.valid)
     return {
@@ -178,3 +177,8 @@ def build(customers: DataFrame, accounts: DataFrame, transactions: DataFrame, se
         "quarantine/customers": c.rejected, "quarantine/accounts": a.rejected, "quarantine/transactions": t.rejected,
         "gold/dim_customers": dims_c, "gold/dim_accounts": dims_a, "gold/fact_transactions": fact_transactions(t.valid, dims_a, dims_c),
     }
+
+
+def build(customers: DataFrame, accounts: DataFrame, transactions: DataFrame, settings: Settings) -> dict[str, DataFrame]:
+    """All silver and gold tables and the quarantines by name."""
+    return tables(*judge(customers, accounts, transactions), settings)

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestrom.config import Settings
+from lodestrom.functions.keys import identifier
+from lodestrom.functions.parse import is_date_variant
 
 ISSUES = ("DUPLICATE_DEDUPED", "ORPHANED_ACCOUNT", "TYPE_MISMATCH", "DATE_FORMAT", "CURRENCY_VARIANT", "NULL_REQUIRED")
 # Advisory rules: what they look at, and that they change nothing.
@@ -30,8 +32,7 @@ def share(count: int | None, total: int | None) -> dict[str, float]:
     return {"count": n, "pct": round(n * 100.0 / of, 2) if of else 0.0}
 
 
-def issue_counts(judged: DataFrame, rejected_accounts: DataFrame) -> DataFrame:
-    """``issue, affected, denominator, output``: rows with the issue, rows it is measured against, rows of them that load."""
+def _transaction_issues(judged: DataFrame) -> DataFrame:
     valid = F.col("outcome") == "valid"
     kept = F.col("outcome") != "duplicate"
     marks: dict[str, tuple[Column, Column]] = {
@@ -42,9 +43,34 @@ def issue_counts(judged: DataFrame, rejected_accounts: DataFrame) -> DataFrame:
         "CURRENCY_VARIANT": (F.col("currency_variant"), valid & (F.col("dq_flag") == "CURRENCY_VARIANT")),
     }
     wide = judged.agg(F.count(F.lit(1)).alias("rows"), *(F.count_if(F.coalesce(p, F.lit(False))).alias(f"{k}_{side}") for k, pair in marks.items() for side, p in zip(("in", "out"), pair, strict=True)))
-    long = wide.select(F.explode(F.array(*(F.struct(F.lit(k).alias("issue"), F.col(f"{k}_in").alias("affected"), F.col("rows").alias("denominator"), F.col(f"{k}_out").alias("output")) for k in marks))).alias("e")).select("e.*")
+    return wide.select(F.explode(F.array(*(F.struct(F.lit(k).alias("issue"), F.col(f"{k}_in").alias("affected"), F.col("rows").alias("denominator"), F.col(f"{k}_out").alias("output")) for k in marks))).alias("e")).select("e.*")
+
+
+def issue_counts(judged: DataFrame, rejected_accounts: DataFrame) -> DataFrame:
+    """``issue, affected, denominator, output`` of the rows given alone: rows with the issue, rows it is measured against, rows
+    of them that load. :func:`source_issues` counts over all three sources."""
     nulls = rejected_accounts.agg(F.lit("NULL_REQUIRED").alias("issue"), F.count_if(F.col("reason") == "NULL_REQUIRED").alias("affected"), F.count(F.lit(1)).alias("denominator"), F.lit(0).cast("long").alias("output"))
-    return long.unionByName(nulls)
+    return _transaction_issues(judged).unionByName(nulls)
+
+
+def source_issues(judged: DataFrame, customers: DataFrame, accounts: DataFrame, loaded_customers: DataFrame, loaded_accounts: DataFrame) -> DataFrame:
+    """The same over whole sources: ``customers`` and ``accounts`` as they came in, and their rows that load.
+
+    DATE_FORMAT counts the rows of all three sources with a date in another notation and is measured against all of them;
+    NULL_REQUIRED is measured against all accounts; the other issues against the transactions.
+    """
+    n, none = F.count(F.lit(1)), F.lit(0).cast("long")
+    dated = ((customers, loaded_customers, ("dob",)), (accounts, loaded_accounts, ("open_date", "last_activity_date")))
+    parts = []
+    for rows, loaded, columns in dated:
+        variant = F.greatest(F.lit(False), *(is_date_variant(F.col(c)) for c in columns))
+        parts.append(rows.agg(F.lit("DATE_FORMAT").alias("issue"), F.count_if(variant).alias("affected"), n.alias("denominator"), none.alias("output")))
+        parts.append(loaded.agg(F.lit("DATE_FORMAT").alias("issue"), none.alias("affected"), none.alias("denominator"), F.count_if("date_variant").alias("output")))
+    parts.append(accounts.agg(F.lit("NULL_REQUIRED").alias("issue"), F.count_if(identifier(F.col("account_id")).isNull()).alias("affected"), n.alias("denominator"), none.alias("output")))
+    every = _transaction_issues(judged)
+    for part in parts:
+        every = every.unionByName(part)
+    return every.groupBy("issue").agg(*(F.sum(c).alias(c) for c in ("affected", "denominator", "output")))
 
 
 def report(issues: list[dict[str, Any]], settings: Settings, counts: dict[str, int]) -> dict[str, Any]:

@@ -99,10 +99,10 @@ def run_batch(customers: DataFrame, accounts: DataFrame, transactions: DataFrame
         for name, df in (("customers", customers), ("accounts", accounts), ("transactions", transactions)):
             run.rows[f"bronze/{name}"] = store.overwrite(df, f"bronze/{name}", settings.files_for(f"bronze/{name}"))["rows"]
     with run.phase("silver and gold"):
-        tables = medallion.build(*(store.read(f"bronze/{n}") for n in ("customers", "accounts", "transactions")), settings)
-        for name, df in tables.items():
+        c, a, judged = medallion.judge(*(store.read(f"bronze/{n}") for n in ("customers", "accounts", "transactions")))
+        for name, df in medallion.tables(c, a, judged, settings).items():
             run.rows[name] = store.overwrite(df, name, settings.files_for(name))["rows"]
-    _finish(run, store, settings, types)
+    _finish(run, store, settings, types, judged)
     return run
 
 
@@ -130,19 +130,17 @@ def run_bucketed(customers: DataFrame, accounts: DataFrame, transactions: DataFr
             run.rows[name] = store.overwrite(df, name, settings.files_for(name))["rows"]
         fact = medallion.fact_transactions(store.read("silver/transactions"), store.read("gold/dim_accounts"), store.read("gold/dim_customers"))
         run.rows["gold/fact_transactions"] = store.overwrite(fact, "gold/fact_transactions", settings.files_for("gold/fact_transactions"))["rows"]
-    _finish(run, store, settings, types)
+    _finish(run, store, settings, types, judged)
     return run
 
 
-def _finish(run: RunContext, store: Store, settings: Settings, types: int) -> None:
+def _finish(run: RunContext, store: Store, settings: Settings, types: int, judged: DataFrame) -> None:
     gold = [store.read(f"gold/{t}") for t in ("fact_transactions", "dim_accounts", "dim_customers")]
     with run.phase("validation"):
         run.failures += validate.failures(*gold, types=types)
     with run.phase("report"):
-        quarantine = store.read("quarantine/transactions")
-        marks = ("outcome", "amount_quoted", "amount_unreadable", "date_variant", "currency_variant", "dq_flag")
-        loaded = store.read("silver/transactions").selectExpr("'valid' as outcome", "coalesce(dq_flag = 'TYPE_MISMATCH', false) as amount_quoted", "false as amount_unreadable", "coalesce(dq_flag = 'DATE_FORMAT', false) as date_variant", "coalesce(dq_flag = 'CURRENCY_VARIANT', false) as currency_variant", "dq_flag")
-        issues = _rows(quality.issue_counts(quarantine.select(*marks).unionByName(loaded), store.read("quarantine/accounts")))
+        # the judged rows carry their raw marks: a row with several counts for each of them
+        issues = _rows(quality.source_issues(judged, *(store.read(f"{layer}/{n}") for layer in ("bronze", "silver") for n in ("customers", "accounts"))))
         store._write_text(f"{store.root}/dq_report.json", quality.to_json(quality.report(issues, settings, run.rows)))
     if settings.profile_mode != "off":
         with run.phase("audit", may_fail=True):

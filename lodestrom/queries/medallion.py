@@ -320,8 +320,9 @@ _MARK = "SELECT '{0}' AS issue, count(*) FILTER (WHERE {1}) AS affected, count(*
     "SELECT 'NULL_REQUIRED', count(*) FILTER (WHERE reason = 'NULL_REQUIRED'), count(*), CAST(0 AS BIGINT) FROM aj WHERE reason IS NOT NULL",
 ]))
 def dq_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged, accounts = _judged(spark, sf_dir)
-    return quality.issue_counts(judged, accounts.rejected)
+    customers, accounts, transactions = _tables(spark, sf_dir)
+    c, a, judged = medallion.judge(customers, accounts, transactions)
+    return quality.source_issues(judged, customers, accounts, c.valid, a.valid)
 
 
 @query("J4 J5 PRJ5 PRJ12", f"WITH {_SILVER} SELECT transaction_id, account_id, customer_id, transaction_date, transaction_type, amount, currency, channel, province, dq_flag FROM ft")
