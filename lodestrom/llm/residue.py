@@ -7,9 +7,10 @@ Three kinds of evidence are combined:
   message, a demand to switch scripts on, a request to fill a field, filler words. A real sentence that mentions such
   things also has words of its own (names, objects), which no notice has;
 * *host evidence*: where records have no addresses or titles, the bundle a record was taken from is its host and its
-  source the site. A short line that mentions a notice's key term, that stands alone in ``HOSTS`` or more bundles in the
-  same words, and most of whose words hardly occur elsewhere in its source, is a boilerplate response even if its words
-  are not all known: its terms mismatch the host, and it is duplicated across hosts. Counts run over all documents.
+  source the site. A line of any words and length that stands alone in ``HOSTS`` or more bundles in the same words, and
+  most of whose distinct words hardly occur elsewhere in its source, is a boilerplate response even if no word of it is
+  known: its terms mismatch the host, and it is duplicated across hosts. A line form that makes up more than half of its
+  source's documents counts only with a notice's key term. Counts run over all documents; a null host or site is a value.
 
 Defined results
 ---------------
@@ -26,6 +27,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestrom import scratch
+from lodestrom.operators.joins import broadcast_if_small
+
 # Names of HTML elements, which are no placeholders.
 _HTML = "noscript|script|html|head|body|div|span|p|br|hr|a|b|i|u|em|strong|li|ul|ol|table|tr|td|th|img|h[1-6]|title|meta|link|code|pre|form|input|style|sub|sup|nav|main|section|article|footer|header|button|label|select|option|iframe|video|audio|svg|path"
 # Words that stand in square brackets in ordinary text.
@@ -183,22 +187,30 @@ _TRIGGERS = r"(?i)\b(?:javascript|scripts?|skripte|skrips|error|fehler|erreur|fo
 
 
 def host_evidence(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "bundle_id", site: str = "source") -> DataFrame:
-    """``doc_id, kind, evidence`` of short stand-alone lines that mismatch their site and are duplicated across hosts."""
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.col(host).alias("host"), F.col(site).alias("site")).where(F.col("text").rlike(r"\S"))
+    """``doc_id, kind, evidence`` of stand-alone lines that mismatch their site and are duplicated across hosts.
+
+    Every line of every document counts, whatever its words and length. Lines are counted by a 128-bit hash of their
+    skeleton, map-side first, so that no text is shuffled; only lines that stand in ``HOSTS`` hosts are judged.
+    """
+    value = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), value(host).alias("host"), value(site).alias("site")).where(F.col("text").rlike(r"\S"))
     terms = lambda c: F.array_distinct(F.filter(F.split(F.lower(c), r"[^\p{L}]+"), lambda w: w != ""))
-    line = F.explode(F.split("text", "\n"))
-    short = rows.where(F.col("text").rlike(_TRIGGERS)).select("doc_id", "host", "site", line.alias("line")).where((F.length("line") < 160) & F.col("line").rlike(_TRIGGERS))
     skeleton = F.trim(F.regexp_replace(F.regexp_replace(F.lower("line"), r"[0-9]+", "0"), r"[\s.]+", " "))
-    short = short.withColumn("skeleton", skeleton)
-    spread = short.groupBy("skeleton").agg(F.count_distinct("host").alias("hosts")).where(F.col("hosts") >= HOSTS)
+    lines = rows.select("doc_id", "host", "site", F.explode(F.split("text", "\n")).alias("line")).where(F.col("line").rlike(r"\p{L}"))
+    lines = lines.withColumn("skeleton", skeleton).withColumn("key", F.unhex(F.md5("skeleton")))
+    spread = scratch.materialise(lines.groupBy("key").agg(F.count_distinct("host").alias("hosts")).where(F.col("hosts") >= HOSTS), "spread-lines")
+    # each spread line once: its text is read again, but not moved where the spread ones are few
+    kept = scratch.materialise(lines.join(broadcast_if_small(spread, spread.count(), 64), "key").drop("host"), "kept-lines")
     # how many of the site's documents hold each term: one row per term and site, aggregated map-side
     totals = rows.groupBy("site").agg(F.count(F.lit(1)).alias("docs"))
-    wanted = short.join(spread, "skeleton", "left_semi").select("site", F.explode(terms(F.col("line"))).alias("term")).distinct()
+    wanted = kept.select("site", F.explode(terms(F.col("line"))).alias("term")).distinct()
     held = rows.select("site", F.explode(terms(F.col("text"))).alias("term")).groupBy("site", "term").agg(F.count(F.lit(1)).alias("n"))
     # a term is rare if hardly any other document of the site holds it than those with this very line
-    own = short.join(spread, "skeleton", "left_semi").groupBy("skeleton", "site").agg(F.count_distinct("doc_id").alias("own"))
+    own = kept.groupBy("key", "site").agg(F.count_distinct("doc_id").alias("own"))
     counted = wanted.join(held, ["site", "term"]).join(totals, "site")
-    scored = short.join(spread, "skeleton").join(own, ["skeleton", "site"]).withColumn("term", F.explode(terms(F.col("line")))).join(counted, ["site", "term"])
+    scored = kept.join(own, ["key", "site"]).withColumn("term", F.explode(terms(F.col("line")))).join(counted, ["site", "term"])
     rare = (F.col("n") - F.col("own")) < F.greatest(F.lit(3.0), F.col("docs") * RARE)
-    judged = scored.groupBy("doc_id", "skeleton", "hosts").agg(F.avg(rare.cast("double")).alias("mismatch"))
+    # what most of a site's documents say is the site's own language, unless it has a notice's key term
+    foreign = (F.col("own") * 2 <= F.col("docs")) | F.col("line").rlike(_TRIGGERS)
+    judged = scored.groupBy("doc_id", "skeleton", "hosts").agg(F.avg((rare & foreign).cast("double")).alias("mismatch"))
     return judged.where(F.col("mismatch") >= RARE_SHARE).select("doc_id", F.lit("duplicated_response").alias("kind"), F.col("skeleton").alias("evidence"))
