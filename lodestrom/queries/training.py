@@ -55,6 +55,12 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("entity").alias("account_id"), F.date_format("day", "yyyy-MM-dd").alias("on_day"), "pattern")
 
 
+def p2_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals and averages over 7 and 30 days of every account and every day of its calendar, idle days too."""
+    trailing = rolling.trailing_totals(p2_amounts(spark, sf_dir), (7, 30))
+    return trailing.select(F.col("entity").alias("account_id"), F.date_format("day", "yyyy-MM-dd").alias("on_day"), "total_7", "mean_7", "total_30", "mean_30")
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     accounts, customers = table(spark, sf_dir, "accounts"), table(spark, sf_dir, "customers")
     parts = {
@@ -119,7 +125,7 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).withColumn("row_id", F.col("row_id").cast("bigint"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p2_found, p3_found, p3_report, p4_found, p4_loaded, p5_found, p6_found, p6_daily, p7_found)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p2_found, p2_totals, p3_found, p3_report, p4_found, p4_loaded, p5_found, p6_found, p6_daily, p7_found)}
 
 _ID = "nullif(lower(regexp_replace({}, '[^\\p{{L}}\\p{{N}}]', '', 'g')), '')".format
 
