@@ -65,6 +65,9 @@ def surplus_rows(df: DataFrame, key: str, order: list[Column], **hot: float) ->
 
 
 def surplus_count(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows, groups, and rows beyond the first of each group; null keys form a group of their own."""
+    """Rows, groups, and rows beyond the first of each group; null keys form a group of their own, which ``named_surplus``
+    leaves out."""
     groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("groups"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("surplus"))
+    surplus = lambda n: F.greatest(F.coalesce(F.sum(n), F.lit(0)), F.lit(0))
+    named = F.when(~F.greatest(F.lit(False), *(F.col(k).isNull() for k in keys)), F.col("n") - 1)
+    return groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("groups"), surplus(F.col("n") - 1).alias("surplus"), surplus(named).alias("named_surplus"))

@@ -19,10 +19,12 @@ def frequencies(df: DataFrame, fields: dict[str, Column]) -> DataFrame:
     return unpivot(df, fields).groupBy("field", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def top_values(df: DataFrame, fields: dict[str, Column], k: int = 5) -> DataFrame:
-    """The k most frequent values of each field; ties by value. Counting comes first, so the window sees distinct values only."""
+def top_values(df: DataFrame, fields: dict[str, Column], k: int = 5, nulls: bool = True) -> DataFrame:
+    """The k most frequent values of each field, with or without nulls; ties by value. Counting comes first, so the window
+    sees distinct values only."""
+    counted = frequencies(df, fields)
     order = Window.partitionBy("field").orderBy(F.col("n").desc(), F.col("value").asc_nulls_first())
-    return frequencies(df, fields).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return (counted if nulls else counted.where("value is not null")).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
 def known(value: Column, allowed: tuple[str, ...]) -> Column:
@@ -61,6 +63,7 @@ def domain_metrics(df: DataFrame, table: str, settings: Settings, exact: bool =
 
 def drift(metrics: DataFrame, settings: Settings) -> DataFrame:
     """``metrics`` with ``high_cardinality`` and whether a review of unknown values is suggested."""
+    # fixed rule: so many unknown values, or at least three that make up so large a share of all values
     many = (F.col("unknown_distinct") >= settings.high_cardinality) | ((F.col("unknown_distinct") >= 3) & (F.try_divide("unknown_distinct", "distinct") >= settings.high_cardinality_ratio))
     marked = metrics.withColumn("high_cardinality", F.coalesce(many, F.lit(False)))
     return marked.withColumn("review", (F.col("unknown") > 0) & ~F.col("high_cardinality"))
@@ -68,7 +71,13 @@ def drift(metrics: DataFrame, settings: Settings) -> DataFrame:
 
 def top_unknown(df: DataFrame, table: str, settings: Settings) -> DataFrame:
     """The most frequent values outside their domain, per field."""
-    fields = {c: F.when(invalid(v, a), F.upper(F.trim(v))) for c, (v, a) in domain_columns(table, settings).items()}
-    known_only = unpivot(df, fields).where("value is not null").groupBy("field", "value").agg(F.count(F.lit(1)).alias("n"))
-    order = Window.partitionBy("field").orderBy(F.col("n").desc(), F.col("value"))
-    return known_only.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= settings.top_k)
+    strange = {c: F.when(invalid(v, a), F.upper(F.trim(v))) for c, (v, a) in domain_columns(table, settings).items()}
+    return top_values(df, strange, settings.top_k, nulls=False)
+
+
+def suggestions(df: DataFrame, table: str, settings: Settings) -> DataFrame:
+    """``field, value, n, suggestion``: unknown values to review, for the fields that do not drift with high cardinality."""
+    marked = drift(domain_metrics(df, table, settings, exact=True), settings).where("review").select("field")
+    found = top_unknown(df, table, settings).withColumn("field", F.concat(F.lit(f"{table}."), "field"))
+    text = F.concat_ws(" ", F.lit("review"), F.concat(F.lit("'"), "value", F.lit("'")), F.lit("as a value of"), "field", F.concat(F.lit("("), F.col("n").cast("string"), F.lit(" rows)")))
+    return found.join(F.broadcast(marked), "field").select("field", "value", "n", text.alias("suggestion"))  # one row a field

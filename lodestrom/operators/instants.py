@@ -1,10 +1,11 @@
 """Mixed timestamp formats and zones, normalised through a dictionary of distinct texts.
 
-The raw texts are deduplicated with the role they play (date or time) and the zone that holds where they name none.
-Each distinct text is parsed once, by an exhaustive reader; its result is appended to a dictionary table, so that the
-next load parses only what it has not met. The dictionary is joined back to the rows, and date and time are composed
-to one instant with JVM expressions. Keeping dates and times apart makes the dictionary small: there are few dates and
-at most 86,400 plain times, whatever the number of rows.
+The raw texts are deduplicated with their source, the zone that holds where they name none, and the role they play (date or
+time). Each distinct entry is parsed once, by an exhaustive reader, plainly written ones too; its result is appended to a
+dictionary table, so that the next load of the source parses only what it has not met. The dictionary is joined back to all
+rows, and date and time are composed to one instant with JVM expressions. Keeping dates and times apart makes the dictionary
+small: there are few dates and at most 86,400 plain times, whatever the number of rows. A dictionary that does not fit a
+broadcast all the same is joined by shuffle (:func:`lodestrom.operators.joins.skew_safe_join`).
 
 Defined results
 ---------------
@@ -32,7 +33,8 @@ from lodestrom.operators.joins import skew_safe_join
 
 LOCAL_ZONE = "Africa/Johannesburg"
 _PARTS = [("kind", T.StringType()), ("day", T.LongType()), ("micros", T.LongType()), ("offset", T.LongType()), ("zone", T.StringType())]
-ENTRY = T.StructType([T.StructField("role", T.StringType()), T.StructField("text", T.StringType()), *(T.StructField(n, t) for n, t in _PARTS)])
+KEY = ("source", "default_zone", "role", "text")
+ENTRY = T.StructType([*(T.StructField(k, T.StringType()) for k in KEY), *(T.StructField(n, t) for n, t in _PARTS)])
 #: Instants of the years 1 to 9999, in microseconds.
 _FIRST, _LAST = -62_135_596_800_000_000, 253_402_300_799_999_999
 
@@ -51,16 +53,16 @@ class StampDictionary:
         return self.spark.read.schema(ENTRY).parquet(self.path)
 
     def learn(self, texts: DataFrame) -> DataFrame:
-        """Parse the (role, text) pairs that are not yet known, append them, and return the whole dictionary."""
+        """Parse the entries (columns ``KEY``) that are not yet known, append them, and return the whole dictionary."""
         allowed = self.allowed
 
         def parse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for f in frames:
                 read = [(read_date if r == "date" else read_time)(t, allowed) or (None,) * 5 for r, t in zip(f["role"], f["text"], strict=True)]
                 columns = list(zip(*read, strict=True)) or [()] * 5
-                yield pd.DataFrame({"role": f["role"], "text": f["text"]} | {n: pd.Series(c, dtype="Int64" if isinstance(t, T.LongType) else "object", index=f.index) for (n, t), c in zip(_PARTS, columns, strict=True)})
+                yield pd.DataFrame({k: f[k] for k in KEY} | {n: pd.Series(c, dtype="Int64" if isinstance(t, T.LongType) else "object", index=f.index) for (n, t), c in zip(_PARTS, columns, strict=True)})
 
-        fresh = texts.where(F.col("text").isNotNull()).distinct().join(self.table().select("role", "text"), ["role", "text"], "left_anti")
+        fresh = texts.where(F.col("text").isNotNull()).distinct().join(self.table().select(*KEY), list(KEY), "left_anti")
         fresh.mapInPandas(parse, ENTRY).write.mode("append").parquet(self.path)
         return self.table()
 
@@ -69,26 +71,28 @@ def _local(micros: Column, zone: Column) -> Column:
     return F.to_utc_timestamp(F.timestamp_micros(micros), zone)
 
 
-def _lookup(dictionary: DataFrame, role: str, name: str) -> DataFrame:
-    return dictionary.where(F.col("role") == role).select(F.col("text").alias(f"_{name}_text"), F.struct("kind", "day", "micros", "offset", "zone").alias(f"_{name}"))
+def _lookup(dictionary: DataFrame, source: str, zone: str, role: str, name: str) -> DataFrame:
+    return dictionary.where((F.col("source") == source) & (F.col("default_zone") == zone) & (F.col("role") == role)).select(F.col("text").alias(f"_{name}_text"), F.struct("kind", "day", "micros", "offset", "zone").alias(f"_{name}"))
 
 
-def normalise_instants(df: DataFrame, date_col: str, time_col: str | None = None, out: str = "instant", zone: str = LOCAL_ZONE, dictionary: StampDictionary | None = None) -> DataFrame:
+def normalise_instants(df: DataFrame, date_col: str, time_col: str | None = None, out: str = "instant", zone: str = LOCAL_ZONE, source: str = "", dictionary: StampDictionary | None = None) -> DataFrame:
     """``df`` with the UTC instant ``out`` (timestamp) and the local date ``<out>_date`` of each row.
 
-    For a text that states only a date and has no time column, the instant is that date's midnight.
+    For a text that states only a date and has no time column, the instant is that date's midnight. ``source`` names where
+    the texts come from; ``df`` is read twice, once for its distinct texts and once for its rows.
     """
     if taken := {out, f"{out}_date", "_d", "_t", "_d_text", "_t_text"} & set(df.columns):
         raise ValueError(f"columns exist already: {sorted(taken)}")
     dictionary = dictionary or StampDictionary(df.sparkSession)
     clock = F.col(time_col) if time_col else F.lit(None).cast("string")
-    texts = df.select(F.explode(F.array(F.struct(F.lit("date").alias("role"), F.col(date_col).alias("text")), F.struct(F.lit("time").alias("role"), F.when(~is_blank(clock), clock).alias("text")))).alias("e")).select("e.*")
-    known = dictionary.learn(texts)
-    dates, times = _lookup(known, "date", "d"), _lookup(known, "time", "t")
+    entry = lambda role, text: F.struct(F.lit(source).alias("source"), F.lit(zone).alias("default_zone"), F.lit(role).alias("role"), text.alias("text"))
+    entries = [entry("date", F.col(date_col)), *([entry("time", F.when(~is_blank(clock), clock))] if time_col else [])]
+    known = dictionary.learn(df.select(F.explode(F.array(*entries)).alias("e")).select("e.*"))
+    dates, times = (_lookup(known, source, zone, role, role[0]) for role in ("date", "time"))
     rows = df.withColumns({"_d_text": F.col(date_col), "_t_text": clock})
-    rows = skew_safe_join(rows, dates, "_d_text", "left", right_bytes=150)
+    rows = skew_safe_join(rows, dates, "_d_text", "left")
     if time_col:
-        rows = skew_safe_join(rows, times, "_t_text", "left", right_bytes=150)
+        rows = skew_safe_join(rows, times, "_t_text", "left")
     else:
         rows = rows.withColumn("_t", F.lit(None).cast(times.schema["_t"].dataType))
     d, t, default = F.col("_d"), F.col("_t"), F.lit(zone)

@@ -1,17 +1,50 @@
-"""Joins that neither broadcast without a checked size nor let one key fill one task."""
+"""Joins that neither broadcast without a measured size nor let one key fill one task."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: A side is broadcast only up to so many bytes, as estimated from a counted table.
+from lodestrom import scratch
+
+#: A side is broadcast only up to so many bytes, as measured from its rows.
 BROADCAST_BYTES = 64 << 20
 
 
-def broadcast_if_small(df: DataFrame, rows: int, bytes_per_row: int, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """``df`` with a broadcast hint if its counted rows fit the limit; otherwise untouched, so that it is shuffled."""
-    return F.broadcast(df) if rows * bytes_per_row <= limit else df
+def width(value: Column, kind: T.DataType) -> Column:
+    """Bytes that one value takes in a broadcast relation, whatever its type; never null."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0)) + 16
+    if isinstance(kind, T.StructType):
+        total = F.lit(8)
+        for f in kind.fields:
+            total = total + width(value.getField(f.name), f.dataType)
+        return total
+    if isinstance(kind, T.ArrayType):
+        inner = kind.elementType
+        if isinstance(inner, T.StructType) and not any(isinstance(f.dataType, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)) for f in inner.fields):
+            return F.greatest(F.coalesce(F.size(value), F.lit(0)), F.lit(0)) * (16 + 8 * len(inner.fields)) + 24
+        return F.coalesce(F.aggregate(value, F.lit(24).cast("long"), lambda s, v: s + width(v, inner)), F.lit(24).cast("long"))
+    if isinstance(kind, T.MapType):
+        return width(F.map_keys(value), T.ArrayType(kind.keyType)) + width(F.map_values(value), T.ArrayType(kind.valueType))
+    return F.lit(8)
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """What the rows of ``df`` would take, by one aggregate over them."""
+    row = F.lit(16)
+    for f in df.schema.fields:
+        row = row + width(F.col(f"`{f.name}`"), f.dataType)
+    return df.agg(F.coalesce(F.sum(row), F.lit(0)).alias("b")).first()["b"]
+
+
+def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """``df`` with a broadcast hint if its measured rows fit the limit; otherwise untouched, so that it is shuffled.
+
+    ``df`` is read for the measurement: pass a written table or something as cheap to read.
+    """
+    return F.broadcast(df) if measured_bytes(df) <= (BROADCAST_BYTES if limit is None else limit) else df
 
 
 def hot_keys(df: DataFrame, key: str, share: float = 0.01, floor: int = 100_000) -> DataFrame:
@@ -24,20 +57,19 @@ def hot_keys(df: DataFrame, key: str, share: float = 0.01, floor: int = 100_000)
     return sizes.join(F.broadcast(total), F.col("_n") > F.greatest(F.col("_total") * share, F.lit(floor))).select(key)
 
 
-def skew_safe_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", right_bytes: int = 200, share: float = 0.01, floor: int = 100_000) -> DataFrame:
+def skew_safe_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", share: float = 0.01, floor: int = 100_000) -> DataFrame:
     """Join a large, skewed ``left`` with a ``right`` that has few rows a key (inner, left, left_semi or left_anti).
 
-    A small ``right`` (counted) is broadcast. Otherwise rows of hot keys meet a broadcast of just these keys' right
-    rows - at most ``1/share`` keys - and all others are shuffled. Null keys match nothing; ``left`` and ``left_anti``
-    keep them without sending them through the shuffle of the matched part.
+    A small ``right`` (measured) is broadcast. Otherwise ``left`` is written once, rows of hot keys meet a broadcast of
+    just these keys' right rows - at most ``1/share`` keys - and all others are shuffled. Null keys match nothing; ``left``
+    and ``left_anti`` keep them without sending them through the shuffle of the matched part.
     """
-    rows = right.count()
-    if rows * right_bytes <= BROADCAST_BYTES:
+    if measured_bytes(right) <= BROADCAST_BYTES:
         return left.join(F.broadcast(right), key, how)
+    left = scratch.materialise(left, "join-left")
     hot = [r[0] for r in hot_keys(left, key, share, floor).collect()]  # at most 1/share keys
     if not hot:
         return left.join(right, key, how)
     is_hot: Column = F.coalesce(F.col(key).isin(hot), F.lit(False))
-    few = right.where(is_hot)
-    side = broadcast_if_small(few, few.count(), right_bytes)
+    side = broadcast_if_small(right.where(is_hot))
     return left.where(is_hot).join(side, key, how).unionByName(left.where(~is_hot).join(right.where(~is_hot), key, how))

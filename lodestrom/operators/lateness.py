@@ -67,6 +67,6 @@ def stale_states(states: DataFrame, events: DataFrame, key: str, state_time: str
     """
     kept = states.select(F.col(key).alias("key"), F.col(state_time).alias("said"), F.col(as_of).alias("as_of")).where("key is not null and as_of is not null").distinct()
     seen = events.select(F.col(key).alias("key"), F.col(event).alias("event"), F.col(arrival).alias("arrival")).where("key is not null and event is not null and arrival is not null")
-    met = skew_safe_join(seen, kept, "key", "inner", right_bytes=96).where("arrival <= as_of")
+    met = skew_safe_join(seen, kept, "key", "inner").where("arrival <= as_of")
     latest = met.groupBy("key", "said", "as_of").agg(F.max("event").alias("latest"))
     return latest.where(~F.col("said").eqNullSafe(F.col("latest"))).select("key").distinct()

@@ -65,8 +65,7 @@ def _packed(points: DataFrame) -> DataFrame:
 def points_in_regions(points: DataFrame, regions: DataFrame, height: float = STRIP_DEG) -> DataFrame:
     """The columns of ``points`` (with ``lat, lon``) and ``place_id`` of each region that contains the point."""
     strips = scratch.materialise(region_strips(regions, height), "region-strips")
-    size = strips.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("edges")).alias("e")).first()
-    side = broadcast_if_small(strips, max(1, size["e"] or 0), 120)
+    side = broadcast_if_small(strips)
     met = _packed(points).withColumn("strip", _strip(F.col("lat"), height)).join(side, "strip")
     lat, lon = F.col("lat"), F.col("lon")
     crossings = F.size(F.filter("edges", lambda e: F.coalesce(_crosses(e, lat, lon), F.lit(False))))
@@ -92,7 +91,7 @@ def points_near(points: DataFrame, centres: DataFrame) -> DataFrame:
     cells = good.withColumn("level", level).withColumn("cy", span("c_lat", dlat)).withColumn("cx", span("c_lon", dlon))
     cells = scratch.materialise(cells, "centre-cells")
     levels = sorted(r[0] for r in cells.select("level").distinct().collect())  # logarithm of the largest radius: a handful
-    side = broadcast_if_small(cells, cells.count(), 80)
+    side = broadcast_if_small(cells)
     at = _packed(points).withColumn("level", F.explode(F.array(*map(F.lit, levels or [0]))))
     at = at.withColumns({"cy": _cell(F.col("lat"), F.col("level")), "cx": _cell(F.col("lon"), F.col("level"))})
     reach = sphere_distance(F.col("lat"), F.col("lon"), F.col("c_lat"), F.col("c_lon")) <= F.col("radius_m")

@@ -52,7 +52,7 @@ def build_bloom(keys: DataFrame, key: str, rows: int) -> tuple[DataFrame, int]:
 
 def probe_bloom(refs: DataFrame, key: str, bloom: DataFrame, blocks: int) -> DataFrame:
     """``refs`` with ``maybe``: false proves that no parent bears the key."""
-    side = broadcast_if_small(bloom.withColumnRenamed("block", "_block"), blocks, WORDS * 8 + 64)
+    side = broadcast_if_small(bloom.withColumnRenamed("block", "_block"))
     probed = refs.withColumn("_block", _block(F.col(key), blocks)).join(side, "_block", "left")
     bit = "(shiftright(words[shiftright(_p[{0}], 6)], _p[{0}] & 63) & 1L) = 1"
     found = F.expr(" and ".join(bit.format(i) for i in range(PROBES)))
@@ -84,7 +84,7 @@ def find_orphans(refs: DataFrame, parents: DataFrame, ref_key: str, at: str, row
     probed = probe_bloom(given, "key", scratch.materialise(bloom, "bloom"), blocks)
     definite = probed.where(~F.col("maybe")).select("row_id", "at", F.lit("missing").alias("orphan_type"))
     # exact check of what the filter lets pass
-    checked = skew_safe_join(probed.where("maybe").drop("maybe"), known.withColumn("_there", F.lit(True)), "key", "left", right_bytes=160)
+    checked = skew_safe_join(probed.where("maybe").drop("maybe"), known.withColumn("_there", F.lit(True)), "key", "left")
     live = F.exists("periods", lambda p: (p["a"] <= F.col("at")) & (F.col("at") < p["b"]))
     verdict = F.when(F.col("_there").isNull(), "missing").when(F.col("first_loaded") > F.col("at"), "late").otherwise("deleted")
     judged = checked.withColumn("live", F.coalesce(live, F.lit(False))).where("not live")

@@ -1,9 +1,12 @@
 """Totals and averages over trailing periods for every entity and day, idle days too.
 
-Amounts are aggregated to one row per entity and active day; each entity is crossed with its own calendar (the days from
-its first to its last, so the product is bounded by entities x calendar length, never rows x rows); and the totals are
-window sums over a fixed number of preceding rows. A sum over the last n rows is the running total minus the running
-total n rows earlier, so a row costs the same for 7 days as for 365.
+Amounts are aggregated to one row per entity and active day. Entities are crossed with a calendar: each entity meets the
+days between its own first and last one. The calendar is cut into blocks, so that the crossing is an equi-join on the
+block and costs the days of the result, not entities x all days there are. Totals are then window sums over a fixed
+number of preceding rows (``rowsBetween(-6, 0)`` for 7 days), which the calendar makes the same as days.
+
+The one shuffle is that of the active days: they are spread by entity before they are crossed, so the dense rows, which
+are many times more, are made and summed where they are. The number of tasks follows the number of dense rows.
 
 Defined results
 ---------------
@@ -15,9 +18,17 @@ Defined results
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestrom import scratch
+from lodestrom.operators.joins import broadcast_if_small
+
+#: Days in a block of the calendar, and dense rows that one task sorts and sums.
+BLOCK_DAYS, TASK_ROWS = 64, 1_500_000
+#: Totals are summed as two whole numbers, of units of so many cents and of the rest: window sums of long decimals are slow.
+_UNIT = 10**12
+
 
 def daily_totals(df: DataFrame, entity: str, day: str, amount: str) -> DataFrame:
     """``entity, day, total, n`` of the active days (partial aggregation: a hot entity moves as one row a day and task)."""
@@ -25,32 +36,50 @@ def daily_totals(df: DataFrame, entity: str, day: str, amount: str) -> DataFrame
     return rows.where("entity is not null and day is not null and amount is not null").groupBy("entity", "day").agg(F.sum("amount").alias("total"), F.count(F.lit(1)).alias("n"))
 
 
-def trailing_totals(daily: DataFrame, periods: tuple[int, ...] = (7, 30), at_least: float | None = None) -> DataFrame:
+def _block(day: Column) -> Column:
+    return F.floor(F.unix_date(day) / BLOCK_DAYS).cast("int")
+
+
+def calendar(like: DataFrame, first: str, last: str) -> DataFrame:
+    """``block, on_day`` for every day from ``first`` to ``last`` (at most 3.7 million, the days of the years 1 to 9999)."""
+    days = like.sparkSession.range(1).select(F.explode(F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"))).alias("on_day"))
+    return days.select(_block(F.col("on_day")).alias("block"), "on_day")
+
+
+def dense_days(daily: DataFrame) -> DataFrame:
+    """``entity, first_day, day, units, cents, n`` for each day of each entity's calendar, partitioned by entity."""
+    daily = scratch.materialise(daily, "daily")
+    spans = daily.groupBy("entity").agg(F.min("day").alias("a"), F.max("day").alias("b"))
+    known = spans.agg(F.min("a").cast("string").alias("first"), F.max("b").cast("string").alias("last"), F.coalesce(F.sum(F.datediff("b", "a") + 1), F.lit(0)).alias("rows")).first()
+    session = int(daily.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(session, -(-known["rows"] // TASK_ROWS))
+    cents = (F.col("total") * 100).cast("decimal(38,0)")
+    split = daily.repartition(tasks, "entity").select("entity", "day", "n", cents.alias("c")).select("entity", "day", "n", F.expr(f"c div {_UNIT}").alias("units"), F.expr(f"cast(c % {_UNIT} as bigint)").alias("cents"))
+    # an entity's active days are at most as many as the days of the calendar
+    held = split.groupBy("entity").agg(F.min("day").alias("first_day"), F.max("day").alias("last_day"), F.collect_list(F.struct(_block(F.col("day")).alias("block"), "day", "units", "cents", "n")).alias("days"))
+    in_blocks = held.withColumn("block", F.explode(F.sequence(_block(F.col("first_day")), _block(F.col("last_day")))))
+    own = F.filter("days", lambda d: d["block"] == F.col("block"))
+    in_blocks = in_blocks.select("entity", "first_day", "last_day", "block", F.map_from_entries(F.transform(own, lambda d: F.struct(d["day"], F.struct(d["units"].alias("units"), d["cents"].alias("cents"), d["n"].alias("n"))))).alias("of_day"))
+    days = broadcast_if_small(calendar(daily, known["first"], known["last"]))
+    dense = in_blocks.join(days, "block").where(F.col("on_day").between(F.col("first_day"), F.col("last_day")))
+    dense = dense.select("entity", "first_day", F.col("on_day").alias("day"), F.try_element_at("of_day", F.col("on_day")).alias("v"))
+    return dense.select("entity", "first_day", "day", *(F.coalesce(F.col(f"v.{c}"), F.lit(0).cast("long")).alias(c) for c in ("units", "cents", "n")))
+
+
+def trailing_totals(daily: DataFrame, periods: tuple[int, ...] = (7, 30)) -> DataFrame:
     """``entity, day`` and for each period n ``total_n, mean_n, active_n``, for each day of each entity's calendar.
 
-    ``daily`` is the result of :func:`daily_totals`. With ``at_least``, entities whose positive daily totals do not add
-    up to that much are left out before the calendar is built: no trailing total of theirs can reach it.
+    ``daily`` is the result of :func:`daily_totals`.
     """
-    by_entity = Window.partitionBy("entity")
-    span = daily.withColumns({"_last": F.max("day").over(by_entity), "_first": F.min("day").over(by_entity)})
-    if at_least is not None:
-        span = span.withColumn("_most", F.sum(F.greatest(F.col("total"), F.lit(0))).over(by_entity)).where(F.col("_most") >= F.lit(at_least)).drop("_most")
-    following = F.coalesce(F.date_sub(F.lead("day").over(by_entity.orderBy("day")), 1), F.col("_last"))
-    # each active day brings itself and the idle days up to the next one: the entity's calendar, without a join
-    dense = span.withColumn("_until", following).select("entity", "_first", F.explode(F.sequence("day", "_until")).alias("on_day"), "day", "total", "n")
-    active = F.col("on_day") == F.col("day")
-    dense = dense.select("entity", "_first", F.col("on_day").alias("day"), F.when(active, F.col("total")).otherwise(0).cast("decimal(38,2)").alias("total"), F.when(active, F.col("n")).otherwise(0).alias("n"))
-    order = by_entity.orderBy("day")
-    running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    dense = dense.withColumns({"_t": F.sum("total").over(running), "_n": F.sum("n").over(running)})
-    zero = F.lit(0)
-    columns = {}
+    by_day = Window.partitionBy("entity").orderBy("day")
+    dense = dense_days(daily)
+    sums = {f"_{c}_{p}": F.sum(c).over(by_day.rowsBetween(1 - p, 0)) for p in periods for c in ("units", "cents", "n")}
+    summed = dense.withColumns(sums)
+    columns = []
     for p in periods:
-        columns[f"total_{p}"] = (F.col("_t") - F.coalesce(F.lag("_t", p).over(order), zero)).cast("decimal(38,2)")
-        columns[f"active_{p}"] = F.col("_n") - F.coalesce(F.lag("_n", p).over(order), zero)
-    dense = dense.withColumns(columns)
-    dense = dense.withColumns({f"mean_{p}": F.col(f"total_{p}").cast("double") / p for p in periods})
-    return dense.withColumnRenamed("_first", "first_day").drop("_t", "_n", "total", "n")
+        total = ((F.col(f"_units_{p}").cast("decimal(24,0)") * F.lit(_UNIT).cast("decimal(13,0)") + F.col(f"_cents_{p}").cast("decimal(20,0)")).cast("decimal(38,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(38,2)")
+        columns += [total.alias(f"total_{p}"), (total.cast("double") / p).alias(f"mean_{p}"), F.col(f"_n_{p}").alias(f"active_{p}")]
+    return summed.select("entity", "day", "first_day", *columns)
 
 
 def surges_and_lulls(trailing: DataFrame, floor: float = 25_000.0, share: float = 0.7) -> DataFrame:

@@ -1,42 +1,86 @@
 """Resumable batch in hash buckets: each bucket is a partition of the input, transformed and committed on its own.
 
-Duplicates of an id share a bucket, so transforming bucket by bucket gives the same rows as all at once. A manifest in the
-store says which buckets are complete for which input; a run resumes with those that were active or failed, then takes the
-rest by weight. Metrics that add up are summed over buckets; distinct counts merge as sketches.
+Duplicates of an id share a bucket, so transforming bucket by bucket gives the same rows as all at once. A numbered manifest
+in the store says which buckets are complete for which input; a run resumes with those that were active or failed, or whose
+output is gone, then takes the rest by the work they are expected to be. Metrics that add up are summed over buckets;
+distinct counts merge as sketches.
 """
 
 from __future__ import annotations
 
-import json
 import math
+import time
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass, field
+from pathlib import Path
+from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestrom.config import Settings
 from lodestrom.functions.keys import bucket_of
+from lodestrom.sources import files
 from lodestrom.sources.store import Store
 
 BUCKET = "_bucket"
+#: Where Linux control groups state their limits (version 2, then 1).
+_LIMITS = {"memory_limit_bytes": ("/sys/fs/cgroup/memory.max", "/sys/fs/cgroup/memory/memory.limit_in_bytes")}
 
 
 @dataclass(frozen=True)
 class Preflight:
-    """What a bucketed run is about to do."""
+    """What a bucketed run is about to do. ``fingerprint`` names the input; ``limits`` is what the machine allows."""
 
     input_bytes: int
     buckets: int
     fingerprint: str
+    mode: str = "adaptive"
+    refusal: str | None = None
+    rows: int | None = None
+    limits: dict[str, int] = field(default_factory=dict)
+
+    @property
+    def tier(self) -> str:
+        """``single`` for a run at once by choice, ``medium`` for one bucket, ``large`` for several."""
+        return "single" if self.mode == "single" else "large" if self.buckets > 1 else "medium"
 
     @property
     def large(self) -> bool:
-        return self.buckets > 1
+        """Whether the input goes through buckets."""
+        return self.tier == "large"
+
+    @property
+    def safe(self) -> bool:
+        return self.refusal is None
+
+    def report(self) -> dict[str, Any]:
+        return asdict(self) | {"tier": self.tier, "safe": self.safe}
+
 
+def resource_limits() -> dict[str, int]:
+    """The memory limit of the control group, as far as it can be read."""
+    found = {}
+    for name, paths in _LIMITS.items():
+        texts = (p.read_text().strip() for p in map(Path, paths) if p.exists())
+        found |= {name: int(t) for t in texts if t.isdigit() and name not in found}
+    return found
 
-def preflight(input_bytes: int, fingerprint: str, settings: Settings) -> Preflight:
-    return Preflight(input_bytes, max(1, min(settings.most_buckets, math.ceil(input_bytes / settings.bucket_bytes))), fingerprint)
+
+def preflight(input_bytes: int, fingerprint: str, settings: Settings, mode: str = "adaptive", buckets: int | None = None, rows: int | None = None) -> Preflight:
+    """As many buckets as the input needs, or as are asked for. A run that would need more than ``most_buckets`` is refused
+    rather than squeezed into fewer, larger ones: raise ``bucket_bytes`` or the limit."""
+    wanted = buckets or (max(1, math.ceil(input_bytes / settings.bucket_bytes)) if mode == "adaptive" else 1)
+    refusal = f"{wanted} buckets exceed the limit of {settings.most_buckets}" if wanted > settings.most_buckets else None
+    return Preflight(input_bytes, wanted, fingerprint, mode, refusal, rows, resource_limits())
+
+
+def preflight_files(spark: SparkSession, paths: list[str], settings: Settings, mode: str = "adaptive", kind: str = "text") -> Preflight:
+    """The same for files: their sizes, and a fingerprint of their names, sizes and times of change. For text files the
+    rows are estimated."""
+    found = sorted((r.file_path, r.file_size, str(r.file_modification_time)) for p in paths for r in files.fingerprints(spark, p, kind).collect())  # one row a file
+    size = sum(n for _, n, _ in found)
+    return preflight(size, str(found), settings, mode, rows=sum(files.estimate_rows(spark, p) for p in paths) if kind == "text" else None)
 
 
 def ingest(df: DataFrame, key: str | Column, plan: Preflight, store: Store, table: str) -> None:
@@ -47,6 +91,23 @@ def ingest(df: DataFrame, key: str | Column, plan: Preflight, store: Store, tabl
     store.overwrite(df.withColumn(BUCKET, bucket_of(F.col(key) if isinstance(key, str) else key, plan.buckets)).repartition(plan.buckets, BUCKET), table, partition_by=[BUCKET])
 
 
+def expected_work(store: Store, source: str, plan: Preflight, manifest: dict, rows: int | None = None) -> dict[int, float]:
+    """The work to expect of each bucket: what it took before, else its rows before or by its share of the bytes, else its bytes."""
+    root, fs = store._path(store.location(source))
+    sizes = {}
+    for b in range(plan.buckets):
+        p, _ = store._path(f"{root}/{BUCKET}={b}")
+        sizes[b] = fs.getContentSummary(p).getLength() if fs.exists(p) else 0
+    total = sum(sizes.values())
+    known = manifest.get("metrics", {})
+    work = {}
+    for b, size in sizes.items():
+        before = known.get(str(b), {})
+        by_bytes = rows * size / total if rows and total else float(size)
+        work[b] = float(before.get("seconds") or before.get("rows") or by_bytes)
+    return work
+
+
 def schedule(buckets: int, manifest: dict, weights: dict[int, float] | None = None) -> list[int]:
     """Buckets still to do: active first, then failed, then by weight."""
     state, weights = manifest.get("buckets", {}), weights or {}
@@ -56,35 +117,38 @@ def schedule(buckets: int, manifest: dict, weights: dict[int, float] | None = No
 
 
 def load_manifest(store: Store, table: str, plan: Preflight) -> dict:
-    """The manifest of this input, or a fresh one if there is none or it belongs to another input."""
-    text = store.read_text(f"{store.root}/{table}/_manifest.json")
-    manifest = json.loads(text) if text else {}
-    same = manifest.get("fingerprint") == plan.fingerprint and manifest.get("count") == plan.buckets
-    return manifest if same else {"fingerprint": plan.fingerprint, "count": plan.buckets, "buckets": {}, "metrics": {}}
+    """The manifest of this input, or a fresh one if there is none or it belongs to another input. A bucket whose output is
+    gone counts as failed, whatever the manifest says."""
+    manifest = store.versions(f"{table}/_manifest").latest() or {}
+    if manifest.get("fingerprint") != plan.fingerprint or manifest.get("count") != plan.buckets:
+        return {"fingerprint": plan.fingerprint, "count": plan.buckets, "buckets": {}, "metrics": {}}
+    for b, state in manifest["buckets"].items():
+        if state == "complete" and not store.exists(f"{table}/bucket={b}"):
+            manifest["buckets"][b] = "failed"
+    return manifest
 
 
 def run(store: Store, source: str, target: str, plan: Preflight, transform: Callable[[DataFrame], DataFrame], weights: dict[int, float] | None = None) -> DataFrame:
     """Transform every bucket that is not complete and return all of them; raises after marking a bucket that fails."""
+    if not plan.safe:
+        raise ValueError(plan.refusal)
     manifest = load_manifest(store, target, plan)
-    save = lambda: store._write_text(f"{store.root}/{target}/_manifest.json", json.dumps(manifest))
+    log = store.versions(f"{target}/_manifest")
     source_df = store.read(source)
-    for b in schedule(plan.buckets, manifest, weights):
+    for b in schedule(plan.buckets, manifest, weights or expected_work(store, source, plan, manifest, plan.rows)):
         manifest["buckets"][str(b)] = "active"
-        save()
+        log.publish(manifest)
+        began = time.perf_counter()
         try:
             done = store.overwrite(transform(source_df.where(F.col(BUCKET) == b).drop(BUCKET)), f"{target}/bucket={b}")
         except Exception:
             manifest["buckets"][str(b)] = "failed"
-            save()
+            log.publish(manifest)
             raise
         manifest["buckets"][str(b)] = "complete"
-        manifest["metrics"][str(b)] = {"rows": done["rows"]}
-        save()
-    frames = [store.read(f"{target}/bucket={b}") for b in range(plan.buckets)]
-    whole = frames[0]
-    for f in frames[1:]:
-        whole = whole.unionByName(f, allowMissingColumns=True)
-    return whole
+        manifest["metrics"][str(b)] = {"rows": done["rows"], "seconds": round(time.perf_counter() - began, 3)}
+        log.publish(manifest)
+    return files.read_union(store.spark, [store.location(f"{target}/bucket={b}") for b in range(plan.buckets)])
 
 
 def total_rows(manifest: dict) -> int:

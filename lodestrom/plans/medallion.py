@@ -63,7 +63,7 @@ def silver_accounts(bronze: DataFrame, customers: DataFrame) -> Split:
     keyed = bronze.withColumns({"account_id": identifier(F.col("account_id")), "customer_ref": identifier(F.col("customer_ref"))})
     ranked = mark_first(keyed, "account_id", order, total=total)
     owners = customers.select(F.col("customer_id").alias("customer_ref"), F.lit(True).alias("_owned"))
-    met = skew_safe_join(ranked, owners, "customer_ref", "left", right_bytes=64)
+    met = skew_safe_join(ranked, owners, "customer_ref", "left")
     reason = F.when(F.col("account_id").isNull(), "NULL_REQUIRED").when(~F.col("_first"), "DUPLICATE_DEDUPED").when(F.col("_owned").isNull(), "UNKNOWN_CUSTOMER")
     judged = met.withColumn("reason", reason)
     kept = judged.where("reason is null").select(
@@ -118,7 +118,7 @@ def judged_transactions(bronze: DataFrame, accounts: DataFrame) -> DataFrame:
     keyed = bronze.withColumn("transaction_id", identifier(F.col("transaction_id")))
     ranked = typed_transactions(mark_first(keyed, "transaction_id", order, total=total))
     known = accounts.select("account_id", F.lit(True).alias("_known")).where("account_id is not null")
-    met = skew_safe_join(ranked, known, "account_id", "left", right_bytes=64)
+    met = skew_safe_join(ranked, known, "account_id", "left")
     missing = F.lit(False)
     for c in REQUIRED_TRANSACTION_FIELDS:
         missing = missing | F.col(c).isNull()
@@ -141,6 +141,12 @@ def with_provenance(bronze: DataFrame, settings: Settings) -> DataFrame:
     return placed.withColumn("geo_anomaly_flags", geo.flag_text(found))
 
 
+def with_provenance_of(judged: DataFrame, bronze: DataFrame, settings: Settings) -> DataFrame:
+    """The valid ones of the judged rows with the provenance of their bronze rows (matched by ``row_id``, which both need)."""
+    added = with_provenance(bronze.select("row_id", "currency", "location"), settings).drop("currency", "location")
+    return judged.where("outcome = 'valid'").join(added, "row_id")
+
+
 def dim_customers(silver: DataFrame, settings: Settings) -> DataFrame:
     as_of = F.lit(settings.as_of).cast("date")
     return silver.withColumns({"customer_sk": surrogate_key(F.col("customer_id")), "age_band": age_band(F.col("dob"), as_of)}).select(*DIM_CUSTOMER)
@@ -154,7 +160,7 @@ def fact_transactions(silver: DataFrame, accounts: DataFrame, customers: DataFra
     """The fact table; a customer's own province goes before the one its transaction states."""
     owners = customers.select("customer_id", "customer_sk", F.col("province").alias("_home"))
     held = accounts.select("account_id", "account_sk", "customer_id").join(owners, "customer_id").drop("customer_id")
-    met = skew_safe_join(silver, held, "account_id", "inner", right_bytes=96)
+    met = skew_safe_join(silver, held, "account_id", "inner")
     return met.withColumns({"transaction_sk": surrogate_key(F.col("transaction_id")), "province": F.coalesce("_home", "province")}).select(*FACT)
 
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestrom.config import Settings
 from lodestrom.functions import currency, geo
 from lodestrom.functions.amounts import amount as amount_of
+from lodestrom.functions.keys import identifier
 from lodestrom.functions.parse import is_blank, parse_date, parse_timestamp
 from lodestrom.operators.frequency import domain_columns, invalid
 from lodestrom.operators.joins import skew_safe_join
@@ -58,8 +59,8 @@ def transaction_metrics(settings: Settings) -> Metrics:
         | _unparsed("transaction_time", F.col("transaction_time"), stamp)
         | {"future_transaction_date": holds(day > as_of), "retry_flagged": holds(F.col("metadata.retry_flag"))}
         | _outside("transactions", settings)
-        | {"currency_present": holds(~is_blank(cur)), "currency_variant": holds(currency.is_variant(cur)), "currency_iso_candidate": holds(currency.iso_candidate(cur).isNotNull()), "currency_numeric_candidate": holds(currency.numeric_candidate(cur).isNotNull())}
-        | {"currency_conversion_required": holds(currency.conversion_required(cur)), "currency_conversion_ready": holds(currency.conversion_ready(cur)), "currency_unknown": holds(currency.unknown(cur))}
+        | {"currency_present": holds(~is_blank(cur)), "currency_variant": holds(currency.is_variant(cur))}
+        | {k: holds(v.isNotNull() if k.endswith("candidate") else v) for k, v in currency.readiness_columns(cur).items() if k not in ("currency_raw", "currency_clean")}
         | {f"geo_{k.lower()}": holds(v) for k, v in found.items()}
     )
 
@@ -96,6 +97,18 @@ def customer_metrics(settings: Settings) -> Metrics:
     )
 
 
+def with_share(counts: DataFrame, total: str = "rows") -> DataFrame:
+    """``metric, n, pct`` of counted metrics, measured against the one named ``total``, which is left out; 0.0 of nothing."""
+    of = F.max(F.when(F.col("metric") == total, F.col("n"))).over(Window.partitionBy(F.lit(0)))  # one row a metric
+    shared = counts.withColumn("pct", percent(F.col("n"), of))
+    return shared.where(F.col("metric") != total)
+
+
+def percent(n: Column, of: Column) -> Column:
+    """``n`` in percent of ``of``, to two places; 0.0 of nothing."""
+    return F.coalesce(F.round(F.try_divide(n * F.lit(100.0), of), 2), F.lit(0.0))
+
+
 def quantiles(df: DataFrame, value: Column, accuracy: int, points: tuple[float, ...] = (0.5, 0.95, 0.99)) -> DataFrame:
     """``point, value`` by a mergeable sketch; exact while the rows stay below the accuracy."""
     sketch = df.agg(F.percentile_approx(value, list(points), accuracy).alias("q"))
@@ -103,20 +116,22 @@ def quantiles(df: DataFrame, value: Column, accuracy: int, points: tuple[float,
 
 
 def unknown_references(child: DataFrame, parent: DataFrame, ref: str, key: str) -> DataFrame:
-    """Rows whose non-blank reference no parent bears."""
-    keys = parent.where(~is_blank(F.col(key))).select(F.trim(key).alias("_ref")).distinct()
-    return skew_safe_join(child.where(~is_blank(F.col(ref))).withColumn("_ref", F.trim(ref)), keys, "_ref", "left_anti", right_bytes=64).drop("_ref")
+    """Rows whose reference no parent bears; identifiers compare by letters and digits."""
+    keys = parent.select(identifier(F.col(key)).alias("_ref")).where("_ref is not null").distinct()
+    return skew_safe_join(child.withColumn("_ref", identifier(F.col(ref))).where("_ref is not null"), keys, "_ref", "left_anti").drop("_ref")
 
 
 def province_mismatches(transactions: DataFrame, accounts: DataFrame, customers: DataFrame) -> DataFrame:
-    """Transactions whose stated province differs from their customer's (letters compared in upper case)."""
-    home = accounts.select("account_id", "customer_ref").join(customers.select(F.col("customer_id").alias("customer_ref"), F.upper(F.trim("province")).alias("home")), "customer_ref").where("account_id is not null").select("account_id", "home").dropDuplicates(["account_id", "home"])
-    one = home.groupBy("account_id").agg(F.min("home").alias("home"))
-    stated = transactions.withColumn("stated", F.upper(F.trim("location.province"))).where("stated <> ''")
-    return skew_safe_join(stated, one, "account_id", "inner", right_bytes=80).where("stated <> home")
+    """Transactions whose stated province differs from their customer's (compared in upper case; identifiers by letters and
+    digits). Of several homes of one account the first by name is meant, so that the result can be repeated."""
+    owners = customers.select(identifier(F.col("customer_id")).alias("_ref"), F.upper(F.trim("province")).alias("home")).where("_ref is not null").groupBy("_ref").agg(F.min("home").alias("home"))
+    held = accounts.select(identifier(F.col("account_id")).alias("_account"), identifier(F.col("customer_ref")).alias("_ref")).where("_account is not null and _ref is not null").distinct()
+    one = held.join(owners, "_ref").groupBy("_account").agg(F.min("home").alias("home"))
+    stated = transactions.withColumns({"stated": F.upper(F.trim("location.province")), "_account": identifier(F.col("account_id"))}).where("stated <> ''")
+    return skew_safe_join(stated, one, "_account", "inner").where("stated <> home").drop("_account")
 
 
 def dense_patterns(transactions: DataFrame, keys: list[str], least: int) -> DataFrame:
-    """How many groups repeat at least ``least`` times, and the largest group."""
-    groups = transactions.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    """How many groups repeat at least ``least`` times, and the largest group. A key named ``*_id`` is compared as an identifier."""
+    groups = transactions.groupBy(*((identifier(F.col(k)) if k.endswith("_id") else F.col(k)).alias(f"_k{i}") for i, k in enumerate(keys))).agg(F.count(F.lit(1)).alias("n"))
     return groups.agg(F.count_if(F.col("n") >= least).alias("groups_at_threshold"), F.coalesce(F.max("n"), F.lit(0)).alias("largest_group"))

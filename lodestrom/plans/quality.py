@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lodestrom.config import Settings
 from lodestrom.functions.keys import identifier
 from lodestrom.functions.parse import is_date_variant
+from lodestrom.plans.profile import percent
 
 ISSUES = ("DUPLICATE_DEDUPED", "ORPHANED_ACCOUNT", "TYPE_MISMATCH", "DATE_FORMAT", "CURRENCY_VARIANT", "NULL_REQUIRED")
 # Advisory rules: what they look at, and that they change nothing.
@@ -26,12 +27,6 @@ ADVISORY = (
 )
 
 
-def share(count: int | None, total: int | None) -> dict[str, float]:
-    """A count with its percentage, rounded to two places; 0.0 of nothing."""
-    n, of = int(count or 0), int(total or 0)
-    return {"count": n, "pct": round(n * 100.0 / of, 2) if of else 0.0}
-
-
 def _transaction_issues(judged: DataFrame) -> DataFrame:
     valid = F.col("outcome") == "valid"
     kept = F.col("outcome") != "duplicate"
@@ -47,10 +42,14 @@ def _transaction_issues(judged: DataFrame) -> DataFrame:
 
 
 def issue_counts(judged: DataFrame, rejected_accounts: DataFrame) -> DataFrame:
-    """``issue, affected, denominator, output`` of the rows given alone: rows with the issue, rows it is measured against, rows
+    """``issue, affected, denominator, output, pct`` of the rows given alone: rows with the issue, rows it is measured against, rows
     of them that load. :func:`source_issues` counts over all three sources."""
     nulls = rejected_accounts.agg(F.lit("NULL_REQUIRED").alias("issue"), F.count_if(F.col("reason") == "NULL_REQUIRED").alias("affected"), F.count(F.lit(1)).alias("denominator"), F.lit(0).cast("long").alias("output"))
-    return _transaction_issues(judged).unionByName(nulls)
+    return _with_percent(_transaction_issues(judged).unionByName(nulls))
+
+
+def _with_percent(counts: DataFrame) -> DataFrame:
+    return counts.withColumn("pct", percent(F.col("affected"), F.col("denominator")))
 
 
 def source_issues(judged: DataFrame, customers: DataFrame, accounts: DataFrame, loaded_customers: DataFrame, loaded_accounts: DataFrame) -> DataFrame:
@@ -70,12 +69,12 @@ def source_issues(judged: DataFrame, customers: DataFrame, accounts: DataFrame,
     every = _transaction_issues(judged)
     for part in parts:
         every = every.unionByName(part)
-    return every.groupBy("issue").agg(*(F.sum(c).alias(c) for c in ("affected", "denominator", "output")))
+    return _with_percent(every.groupBy("issue").agg(*(F.sum(c).alias(c) for c in ("affected", "denominator", "output"))))
 
 
 def report(issues: list[dict[str, Any]], settings: Settings, counts: dict[str, int]) -> dict[str, Any]:
     """The data-quality report; issues that did not occur are left out."""
-    listed = [{"issue_type": i["issue"], "records_affected": i["affected"], "percentage_of_total": share(i["affected"], i["denominator"])["pct"], "handling_action": settings.actions[i["issue"]], "records_in_output": i["output"]} for i in issues if i["affected"]]
+    listed = [{"issue_type": i["issue"], "records_affected": i["affected"], "percentage_of_total": i["pct"], "handling_action": settings.actions[i["issue"]], "records_in_output": i["output"]} for i in issues if i["affected"]]
     return {"record_counts": counts, "dq_issues": listed, "summary": {"total_issue_types": len(listed), "total_flagged_records": sum(i["records_affected"] for i in listed)}, "advisory_rules": [{"rule": r, "meaning": m} for r, m in ADVISORY]}
 
 

@@ -23,7 +23,7 @@ from lodestrom.sources import files
 from lodestrom.sources.store import Store
 
 #: Where Linux control groups tell what the process has used (version 2, then 1).
-_CGROUP = {"memory_peak_bytes": ("/sys/fs/cgroup/memory.peak", "/sys/fs/cgroup/memory/memory.max_usage_in_bytes"), "memory_limit_bytes": ("/sys/fs/cgroup/memory.max", "/sys/fs/cgroup/memory/memory.limit_in_bytes")}
+_CGROUP = {"memory_peak_bytes": ("/sys/fs/cgroup/memory.peak", "/sys/fs/cgroup/memory/memory.max_usage_in_bytes"), "memory_bytes": ("/sys/fs/cgroup/memory.current", "/sys/fs/cgroup/memory/memory.usage_in_bytes"), "memory_limit_bytes": ("/sys/fs/cgroup/memory.max", "/sys/fs/cgroup/memory/memory.limit_in_bytes")}
 
 
 def usage() -> dict[str, int]:
@@ -48,11 +48,12 @@ class RunContext:
     phases: list[dict[str, Any]] = field(default_factory=list)
     rows: dict[str, int] = field(default_factory=dict)
     failures: list[str] = field(default_factory=list)
+    writes: list[dict[str, Any]] = field(default_factory=list)
 
     @contextmanager
     def phase(self, name: str, may_fail: bool = False) -> Iterator[None]:
         """Time a phase; an error in an optional one is noted and the run goes on."""
-        began, error = time.perf_counter(), None
+        began, error, before = time.perf_counter(), None, usage()
         try:
             yield
         except Exception as e:
@@ -60,7 +61,16 @@ class RunContext:
             if not may_fail:
                 raise
         finally:
-            self.phases.append({"phase": name, "seconds": round(time.perf_counter() - began, 3), "error": error} | usage())
+            after = usage()
+            deltas = {f"{k}_delta": after[k] - before[k] for k in after if k in before}
+            self.phases.append({"phase": name, "seconds": round(time.perf_counter() - began, 3), "error": error} | after | deltas)
+
+    def write(self, store: Store, df: DataFrame, name: str, files: int | None = None) -> None:
+        """Write a table, noting its rows, its time and its size."""
+        began = time.perf_counter()
+        self.rows[name] = store.overwrite(df, name, files)["rows"]
+        p, fs = store._path(store.location(name))
+        self.writes.append({"table": name, "rows": self.rows[name], "seconds": round(time.perf_counter() - began, 3), "bytes": fs.getContentSummary(p).getLength()})
 
 
 def read_sources(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -97,11 +107,11 @@ def run_batch(customers: DataFrame, accounts: DataFrame, transactions: DataFrame
     run = RunContext()
     with run.phase("bronze"):
         for name, df in (("customers", customers), ("accounts", accounts), ("transactions", transactions)):
-            run.rows[f"bronze/{name}"] = store.overwrite(df, f"bronze/{name}", settings.files_for(f"bronze/{name}"))["rows"]
+            run.write(store, df, f"bronze/{name}", settings.files_for(f"bronze/{name}"))
     with run.phase("silver and gold"):
         c, a, judged = medallion.judge(*(store.read(f"bronze/{n}") for n in ("customers", "accounts", "transactions")))
         for name, df in medallion.tables(c, a, judged, settings).items():
-            run.rows[name] = store.overwrite(df, name, settings.files_for(name))["rows"]
+            run.write(store, df, name, settings.files_for(name))
     _finish(run, store, settings, types, judged)
     return run
 
@@ -112,13 +122,13 @@ def run_bucketed(customers: DataFrame, accounts: DataFrame, transactions: DataFr
     if buckets.load_manifest(store, "judged", plan)["buckets"] == {}:
         with run.phase("bronze"):
             for name, df in (("customers", customers), ("accounts", accounts), ("transactions", transactions)):
-                run.rows[f"bronze/{name}"] = store.overwrite(df, f"bronze/{name}")["rows"]
+                run.write(store, df, f"bronze/{name}")
             buckets.ingest(store.read("bronze/transactions"), identifier(F.col("transaction_id")), plan, store, "bronze/bucketed")
     with run.phase("dimensions"):
         c = medallion.silver_customers(store.read("bronze/customers"))
-        run.rows["silver/customers"] = store.overwrite(c.valid, "silver/customers")["rows"]
+        run.write(store, c.valid, "silver/customers")
         a = medallion.silver_accounts(store.read("bronze/accounts"), store.read("silver/customers"))
-        run.rows["silver/accounts"] = store.overwrite(a.valid, "silver/accounts")["rows"]
+        run.write(store, a.valid, "silver/accounts")
     with run.phase("buckets"):
         known = store.read("silver/accounts")
         judged = buckets.run(store, "bronze/bucketed", "judged", plan, lambda part: medallion.judged_transactions(part, known))
@@ -127,22 +137,31 @@ def run_bucketed(customers: DataFrame, accounts: DataFrame, transactions: DataFr
         dims_c, dims_a = medallion.dim_customers(store.read("silver/customers"), settings), medallion.dim_accounts(known)
         out = {"silver/transactions": t.valid, "quarantine/customers": c.rejected, "quarantine/accounts": a.rejected, "quarantine/transactions": t.rejected, "gold/dim_customers": dims_c, "gold/dim_accounts": dims_a}
         for name, df in out.items():
-            run.rows[name] = store.overwrite(df, name, settings.files_for(name))["rows"]
+            run.write(store, df, name, settings.files_for(name))
         fact = medallion.fact_transactions(store.read("silver/transactions"), store.read("gold/dim_accounts"), store.read("gold/dim_customers"))
-        run.rows["gold/fact_transactions"] = store.overwrite(fact, "gold/fact_transactions", settings.files_for("gold/fact_transactions"))["rows"]
-    _finish(run, store, settings, types, judged)
+        run.write(store, fact, "gold/fact_transactions", settings.files_for("gold/fact_transactions"))
+    _finish(run, store, settings, types, judged, plan)
     return run
 
 
-def _finish(run: RunContext, store: Store, settings: Settings, types: int, judged: DataFrame) -> None:
+def run_auto(customers: DataFrame, accounts: DataFrame, transactions: DataFrame, store: Store, settings: Settings, plan: buckets.Preflight, types: int = 4) -> RunContext:
+    """The run that the preflight asks for: in buckets if the input is large, else at once; a refused one raises."""
+    if not plan.safe:
+        raise ValueError(plan.refusal)
+    if plan.large:
+        return run_bucketed(customers, accounts, transactions, store, settings, plan, types)
+    return run_batch(customers, accounts, transactions, store, settings, types)
+
+
+def _finish(run: RunContext, store: Store, settings: Settings, types: int, judged: DataFrame, plan: buckets.Preflight | None = None) -> None:
     gold = [store.read(f"gold/{t}") for t in ("fact_transactions", "dim_accounts", "dim_customers")]
     with run.phase("validation"):
-        run.failures += validate.failures(*gold, types=types)
+        run.failures += validate.failures(*gold, types=types, provinces=settings.provinces)
     with run.phase("report"):
         # the judged rows carry their raw marks: a row with several counts for each of them
         issues = _rows(quality.source_issues(judged, *(store.read(f"{layer}/{n}") for layer in ("bronze", "silver") for n in ("customers", "accounts"))))
-        store._write_text(f"{store.root}/dq_report.json", quality.to_json(quality.report(issues, settings, run.rows)))
+        store.write_text(f"{store.root}/dq_report.json", quality.to_json(quality.report(issues, settings, run.rows)))
     if settings.profile_mode != "off":
         with run.phase("audit", may_fail=True):
-            store._write_text(f"{store.root}/audit.json", quality.to_json(audit(store, settings)))
-    store._write_text(f"{store.root}/performance.json", quality.to_json({"phases": run.phases, "rows": run.rows, "failures": run.failures}))
+            store.write_text(f"{store.root}/audit.json", quality.to_json(audit(store, settings)))
+    store.write_text(f"{store.root}/performance.json", quality.to_json({"phases": run.phases, "rows": run.rows, "writes": run.writes, "failures": run.failures, "preflight": plan.report() if plan else None}))

@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestrom import scratch
-from lodestrom.config import COUNTRY_BOX, DOMAINS, PROVINCE_BOXES, Settings
+from lodestrom.config import COUNTRY_BOX, DOMAINS, PROVINCE_BOXES, Settings, load_settings
 from lodestrom.functions import currency, geo
 from lodestrom.functions.amounts import amount as readable_amount
 from lodestrom.functions.keys import identifier
+from lodestrom.operators.ranks import rank_key
 from lodestrom.functions.parse import age_band, is_blank, is_date_variant, is_quoted_amount, parse_date, parse_timestamp
 from lodestrom.operators import dedupe, frequency, references, states
-from lodestrom.plans import buckets, medallion, profile, quality, validate
+from lodestrom.plans import buckets, medallion, profile, quality, runner, validate
 from lodestrom.sources import files
 from lodestrom.sources.store import Store
 from lodestrom.streaming import feed
@@ -149,12 +150,17 @@ def geo_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("row_id", geo.flag_text(geo.flags(F.col("c"), F.col("p"), F.col("lat"), F.col("lon"))).alias("flags"))
 
 
-@query("GEO9 CUR7 AGG18", _long(f"SELECT *, {_clean('t.currency')} AS cc FROM ({_GEO}) g JOIN transactions t USING (row_id)", {k: v for k, v in _FLAGS.items()} | {"CONVERSION_REQUIRED": "cc <> 'ZAR' AND cc <> ''"}))
+@query("GEO9 CUR7 AGG18", "SELECT metric, n, coalesce(round(n * 100.0 :: DOUBLE / (SELECT count(*) FROM transactions), 2), 0) AS pct FROM (" + _long(
+    f"SELECT *, {_clean('t.currency')} AS cc, {_alias('t.currency')} AS alias, upper(trim(t.currency)) AS cu FROM ({_GEO}) g JOIN transactions t USING (row_id)",
+    {k: v for k, v in _FLAGS.items()} | {"CURRENCY_VARIANT": "alias", "CONVERSION_REQUIRED": "cc <> 'ZAR' AND cc <> ''", "CONVERSION_READY": "cc <> 'ZAR' AND regexp_full_match(cu, '[A-Z]{3}|[0-9]{3}')", "CURRENCY_UNKNOWN": "cc <> 'ZAR' AND cc <> '' AND NOT regexp_full_match(cu, '[A-Z]{3}|[0-9]{3}')"},
+) + ")")
 def readiness_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("location.coordinates")
     t = table(spark, sf_dir, "transactions").withColumns({"lat": geo.latitude(text), "lon": geo.longitude(text)})
     found = geo.flags(text, F.col("location.province"), F.col("lat"), F.col("lon"))
-    return profile.long_form(t, {k: profile.holds(v) for k, v in found.items()} | {"CONVERSION_REQUIRED": profile.holds(currency.conversion_required(F.col("currency")))})
+    ready = currency.readiness_columns(F.col("currency"))
+    named = {"CURRENCY_VARIANT": currency.is_variant(F.col("currency")), "CONVERSION_REQUIRED": ready["currency_conversion_required"], "CONVERSION_READY": ready["currency_conversion_ready"], "CURRENCY_UNKNOWN": ready["currency_unknown"]}
+    return profile.with_share(profile.long_form(t, {"rows": F.count(F.lit(1))} | {k: profile.holds(v) for k, v in (found | named).items()}))
 
 
 @query("FLT9 PAR6", f"SELECT row_id, {_amount('amount')} AS value, amount IS NOT NULL AND {_amount('amount')} IS NULL AS cast_failed FROM transactions")
@@ -182,7 +188,7 @@ def age_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customers").select("row_id", age_band(parse_date(F.col("dob")), F.lit(SETTINGS.as_of).cast("date")).alias("band"))
 
 
-@query("PRJ8 PRJ9 PRJ10", f"SELECT count(DISTINCT {_id('account_id')}) AS keys, count(DISTINCT {_id('account_id')}) AS surrogates, 0 AS negative FROM accounts")
+@query("PRJ8", f"SELECT count(DISTINCT {_id('account_id')}) AS keys, count(DISTINCT {_id('account_id')}) AS surrogates, 0 AS negative FROM accounts")
 def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lodestrom.functions.keys import surrogate_key
 
@@ -204,15 +210,16 @@ def keep_first_by_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe.keep_first_window(c, ["k"], [F.col("loaded_at"), F.col("row_id")]).select("row_id")
 
 
-@query("WIN2 J3", "SELECT row_id FROM (SELECT row_id, row_number() OVER (PARTITION BY transaction_id ORDER BY ingested_at NULLS LAST, row_id) AS rn FROM transactions WHERE transaction_id IS NOT NULL) WHERE rn > 1")
+@query("WIN2 J3", f"SELECT row_id FROM (SELECT row_id, row_number() OVER (PARTITION BY {_id('transaction_id')} ORDER BY ingested_at NULLS LAST, row_id) AS rn FROM transactions WHERE {_id('transaction_id')} IS NOT NULL) WHERE rn > 1")
 def duplicate_surplus_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = table(spark, sf_dir, "transactions").where("transaction_id is not null").select("transaction_id", "ingested_at", "row_id")
-    return dedupe.surplus_rows(t, "transaction_id", [F.col("ingested_at"), F.col("row_id")]).select("row_id")
+    t = table(spark, sf_dir, "transactions").select(identifier(F.col("transaction_id")).alias("k"), "ingested_at", "row_id").where("k is not null")
+    return dedupe.surplus_rows(t, "k", [F.col("ingested_at"), F.col("row_id")], total=True).select("row_id")
 
 
-@query("AGG4 AGG5 AGG7 AGG8", "SELECT CAST(sum(n) AS BIGINT) AS rows, count(*) AS groups, CAST(sum(n - 1) AS BIGINT) AS surplus FROM (SELECT transaction_id, count(*) AS n FROM transactions GROUP BY 1)")
+@query("AGG4 AGG5 AGG7 AGG8", f"SELECT CAST(sum(n) AS BIGINT) AS rows, count(*) AS groups, CAST(sum(n - 1) AS BIGINT) AS surplus, (SELECT greatest(count(k) - count(DISTINCT k), 0) FROM (SELECT {_id('transaction_id')} AS k FROM transactions)) AS named_surplus FROM (SELECT {_id('transaction_id')} AS k, count(*) AS n FROM transactions GROUP BY 1)")
 def duplicate_surplus_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedupe.surplus_count(table(spark, sf_dir, "transactions"), ["transaction_id"])
+    """Surplus rows per identifier, with rows without one as a group of their own and, in ``named_surplus``, without them."""
+    return dedupe.surplus_count(table(spark, sf_dir, "transactions").select(identifier(F.col("transaction_id")).alias("k")), ["k"])
 
 
 _KNOWN_ACCOUNTS = f"(SELECT DISTINCT {_id('account_id')} AS k FROM accounts)"
@@ -224,11 +231,11 @@ def orphan_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     known = table(spark, sf_dir, "accounts").select(identifier(F.col("account_id")).alias("k"), F.lit(True).alias("there")).where("k is not null").distinct()
     t = table(spark, sf_dir, "transactions").select("row_id", identifier(F.col("account_id")).alias("k"))
-    return skew_safe_join(t, known, "k", "left", right_bytes=64).select("row_id", F.col("there").isNull().alias("orphan"))
+    return skew_safe_join(t, known, "k", "left").select("row_id", F.col("there").isNull().alias("orphan"))
 
 
-@query("J6 J7 AGG17", """SELECT 'accounts' AS kind, row_id FROM accounts WHERE trim(customer_ref) <> '' AND NOT EXISTS (SELECT 1 FROM customers c WHERE trim(c.customer_id) <> '' AND trim(c.customer_id) = trim(accounts.customer_ref))
-UNION ALL SELECT 'transactions', row_id FROM transactions WHERE trim(account_id) <> '' AND NOT EXISTS (SELECT 1 FROM accounts a WHERE trim(a.account_id) <> '' AND trim(a.account_id) = trim(transactions.account_id))""")
+@query("J6 J7 AGG17", f"""SELECT 'accounts' AS kind, row_id FROM accounts WHERE {_id('customer_ref')} NOT IN (SELECT {_id('customer_id')} FROM customers WHERE {_id('customer_id')} IS NOT NULL)
+UNION ALL SELECT 'transactions', row_id FROM transactions WHERE {_id('account_id')} NOT IN (SELECT {_id('account_id')} FROM accounts WHERE {_id('account_id')} IS NOT NULL)""")
 def orphan_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     c, a, t = (table(spark, sf_dir, n) for n in ("customers", "accounts", "transactions"))
     first = profile.unknown_references(a, c, "customer_ref", "customer_id").select(F.lit("accounts").alias("kind"), "row_id")
@@ -242,10 +249,10 @@ def orphans_by_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row_id")
 
 
-_HOMES = "(SELECT a.account_id, min(upper(trim(c.province))) AS home FROM accounts a JOIN customers c ON a.customer_ref = c.customer_id WHERE a.account_id IS NOT NULL GROUP BY 1)"
+_HOMES = f"(SELECT {_id('a.account_id')} AS k, min(upper(trim(c.province))) AS home FROM accounts a JOIN customers c ON {_id('a.customer_ref')} = {_id('c.customer_id')} WHERE {_id('a.account_id')} IS NOT NULL GROUP BY 1)"
 
 
-@query("J8 J9", f"SELECT t.row_id, h.home, upper(trim(t.location.province)) AS stated FROM transactions t JOIN {_HOMES} h USING (account_id) WHERE upper(trim(t.location.province)) <> '' AND upper(trim(t.location.province)) <> h.home")
+@query("J8 J9", f"SELECT t.row_id, h.home, upper(trim(t.location.province)) AS stated FROM transactions t JOIN {_HOMES} h ON {_id('t.account_id')} = h.k WHERE upper(trim(t.location.province)) <> '' AND upper(trim(t.location.province)) <> h.home")
 def province_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.province_mismatches(table(spark, sf_dir, "transactions"), table(spark, sf_dir, "accounts"), table(spark, sf_dir, "customers")).select("row_id", "home", "stated")
 
@@ -311,14 +318,19 @@ def reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _MARK = "SELECT '{0}' AS issue, count(*) FILTER (WHERE {1}) AS affected, count(*) AS denominator, count(*) FILTER (WHERE {2}) AS output FROM tj"
+_DATED = {"customers": _variant("dob"), "accounts": f"{_variant('open_date')} OR {_variant('last_activity_date')}", "transactions": _variant("transaction_date")}
+_ISSUES = " UNION ALL ".join([
+    _MARK.format("DUPLICATE_DEDUPED", "outcome = 'duplicate'", "outcome <> 'duplicate'"), _MARK.format("ORPHANED_ACCOUNT", "outcome = 'orphan'", "false"),
+    _MARK.format("TYPE_MISMATCH", "unreadable", "false"), _MARK.format("CURRENCY_VARIANT", "currency_variant", "outcome = 'valid' AND dq_flag = 'CURRENCY_VARIANT'"),
+    *(f"SELECT 'DATE_FORMAT', count(*) FILTER (WHERE {p}), count(*), CAST(0 AS BIGINT) FROM {t}" for t, p in _DATED.items()),
+    f"SELECT 'DATE_FORMAT', 0, 0, count(*) FILTER (WHERE k IS NOT NULL AND nth = 1 AND {_DATED['customers']}) FROM c1",
+    f"SELECT 'DATE_FORMAT', 0, 0, count(*) FILTER (WHERE reason IS NULL AND ({_DATED['accounts']})) FROM aj",
+    "SELECT 'DATE_FORMAT', 0, 0, count(*) FILTER (WHERE outcome = 'valid' AND dq_flag = 'DATE_FORMAT') FROM tj",
+    f"SELECT 'NULL_REQUIRED', count(*) FILTER (WHERE {_id('account_id')} IS NULL), count(*), CAST(0 AS BIGINT) FROM accounts",
+])
 
 
-@query("DQ1 DQ2 DQ3 AGG1 AGG2", f"WITH {_SILVER} " + " UNION ALL ".join([
-    _MARK.format("DUPLICATE_DEDUPED", "outcome = 'duplicate'", "outcome <> 'duplicate'"), _MARK.format("ORPHANED_ACCOUNT", "outcome = 'orphan'", "false"),
-    _MARK.format("TYPE_MISMATCH", "unreadable", "false"), _MARK.format("DATE_FORMAT", "date_variant", "outcome = 'valid' AND dq_flag = 'DATE_FORMAT'"),
-    _MARK.format("CURRENCY_VARIANT", "currency_variant", "outcome = 'valid' AND dq_flag = 'CURRENCY_VARIANT'"),
-    "SELECT 'NULL_REQUIRED', count(*) FILTER (WHERE reason = 'NULL_REQUIRED'), count(*), CAST(0 AS BIGINT) FROM aj WHERE reason IS NOT NULL",
-]))
+@query("DQ1 DQ3 AGG1 AGG2 AGG18", f"WITH {_SILVER}, i AS ({_ISSUES}), t AS (SELECT issue, CAST(sum(affected) AS BIGINT) AS affected, CAST(sum(denominator) AS BIGINT) AS denominator, CAST(sum(output) AS BIGINT) AS output FROM i GROUP BY 1) SELECT *, round(affected * CAST(100 AS DOUBLE) / denominator, 2) AS pct FROM t")
 def dq_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers, accounts, transactions = _tables(spark, sf_dir)
     c, a, judged = medallion.judge(customers, accounts, transactions)
@@ -465,24 +477,45 @@ _DRIFT = " UNION ALL ".join(
 )
 
 
-@query("AGG9 AGG10 AGG11 AGG12 AGG20 DRF1 DRF2 DRF3 DRF4 DRF5", f"SELECT field, rows, present, unknown, distinct_, unknown_distinct, h AS high_cardinality, unknown > 0 AND NOT h AS review FROM (SELECT *, coalesce(unknown_distinct >= 50 OR (unknown_distinct >= 3 AND unknown_distinct / distinct_ >= 0.25), false) AS h FROM ({_DRIFT}))")
+@query("AGG20 DRF1 DRF2", f"SELECT field, rows, present, unknown, distinct_, unknown_distinct, h AS high_cardinality, unknown > 0 AND NOT h AS review FROM (SELECT *, coalesce(unknown_distinct >= 50 OR (unknown_distinct >= 3 AND unknown_distinct / distinct_ >= 0.25), false) AS h FROM ({_DRIFT}))")
 def domain_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     metrics = frequency.domain_metrics(table(spark, sf_dir, "transactions"), "transactions", SETTINGS, exact=True)
     return frequency.drift(metrics, SETTINGS).withColumnRenamed("distinct", "distinct_")
 
 
-@query("AGG9 AGG10 DRF4", None)
+def _domain_counts(name: str) -> str:
+    owner, c = name.split(".")
+    v = "location.province" if name == "transactions.province" else _clean("currency") if c == "currency" else c
+    clean, strange = f"CASE WHEN NOT {_blank(f'({v})')} THEN upper(trim({v})) END", _strange(v, DOMAINS[name])
+    return f"SELECT '{name}' AS field, count(*) AS rows, count({clean}) AS present, count({strange}) AS unknown, count(DISTINCT {clean}) AS exact, count(DISTINCT {strange}) AS exact_unknown, true AS within_bounds FROM {owner}"
+
+
+@query("AGG9 AGG10 AGG11 AGG12 DRF4", " UNION ALL ".join(map(_domain_counts, DOMAINS)))
 def domain_drift_light(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = [frequency.domain_metrics(table(spark, sf_dir, t), t, SETTINGS) for t in ("customers", "accounts", "transactions")]
-    return frequency.drift(found[0].unionByName(found[1]).unionByName(found[2]), SETTINGS)
+    """Approximate distinct values of all domains, against the exact ones: within three standard errors (and one value)."""
+    found = []
+    for name in ("customers", "accounts", "transactions"):
+        df = table(spark, sf_dir, name)
+        rough, exact = (frequency.domain_metrics(df, name, SETTINGS, exact=e) for e in (False, True))
+        near = lambda a, b: F.abs(F.col(a) - F.col(b)) <= F.greatest(F.lit(1.0), F.col(b) * 3 * 0.05)
+        both = rough.join(F.broadcast(exact.select("field", F.col("distinct").alias("exact"), F.col("unknown_distinct").alias("exact_unknown"))), "field")  # one row a field
+        found.append(both.select("field", "rows", "present", "unknown", "exact", "exact_unknown", (near("distinct", "exact") & near("unknown_distinct", "exact_unknown")).alias("within_bounds")))
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
 
+@query("DRF1 DRF2 DRF3 DRF5", f"""WITH top AS ({ORACLES['top_unknown']}), m AS ({_DRIFT}), ok AS (SELECT field FROM m WHERE unknown > 0 AND NOT coalesce(unknown_distinct >= 50 OR (unknown_distinct >= 3 AND unknown_distinct / distinct_ >= 0.25), false))
+SELECT 'transactions.' || top.field AS field, value, n, 'review ' || chr(39) || value || chr(39) || ' as a value of transactions.' || top.field || ' (' || n || ' rows)' AS suggestion FROM top JOIN ok ON ok.field = 'transactions.' || top.field""")
+def rule_suggestions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return frequency.suggestions(table(spark, sf_dir, "transactions"), "transactions", SETTINGS)
 
-@query("AGG16", "SELECT count(*) FILTER (WHERE n >= 50) AS groups_at_threshold, max(n) AS largest_group FROM (SELECT account_id, transaction_type, channel, count(*) AS n FROM transactions GROUP BY 1, 2, 3)")
+
+@query("AGG16", "SELECT count(*) FILTER (WHERE n >= 50) AS groups_at_threshold, max(n) AS largest_group FROM (SELECT " + _id("account_id") + " AS k, transaction_type, channel, count(*) AS n FROM transactions GROUP BY 1, 2, 3)")
 def dense_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.dense_patterns(table(spark, sf_dir, "transactions"), ["account_id", "transaction_type", "channel"], SETTINGS.repeat_pattern)
 
 
-@query("PRF5 J6 J7 J8 J9", f"""SELECT CASE kind WHEN 'accounts' THEN 'accounts_with_unknown_customer' ELSE 'transactions_with_unknown_account' END AS metric, count(*) AS n FROM ({ORACLES['orphan_anti']}) GROUP BY 1
+@query("PRF5 J6 J7 J8 J9", f"""SELECT 'accounts_with_unknown_customer' AS metric, count(*) AS n FROM ({ORACLES['orphan_anti']}) WHERE kind = 'accounts'
+UNION ALL SELECT 'transactions_with_unknown_account', count(*) FROM ({ORACLES['orphan_anti']}) WHERE kind = 'transactions'
 UNION ALL SELECT 'transactions_in_another_province', count(*) FROM ({ORACLES['province_mismatch']})""")
 def profile_cross(spark: SparkSession, sf_dir: str) -> DataFrame:
     c, a, t = _tables(spark, sf_dir)
@@ -498,23 +531,23 @@ def profile_cross(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- states, streaming, buckets, storage
 _ONCE = "SELECT DISTINCT ON (account_id, transaction_id) account_id, transaction_id, transaction_timestamp, amount, transaction_type FROM recent_transactions WHERE transaction_id IS NOT NULL AND account_id IS NOT NULL AND transaction_timestamp IS NOT NULL AND amount IS NOT NULL AND transaction_type IN ('DEBIT', 'CREDIT', 'FEE', 'REVERSAL') ORDER BY account_id, transaction_id, transaction_timestamp DESC"
 _BALANCE = f"""WITH e AS ({_ONCE}), d AS (SELECT account_id, sum(CASE WHEN transaction_type IN ('CREDIT', 'REVERSAL') THEN amount ELSE -amount END) AS delta, max(transaction_timestamp) AS latest FROM e GROUP BY 1)
-SELECT b.account_id, CAST(b.current_balance + coalesce(d.delta, 0) AS DECIMAL(18,2)) AS current_balance, greatest(TIMESTAMPTZ '1970-01-01 00:00:00+00', d.latest) AS last_transaction_timestamp FROM current_balances b LEFT JOIN d USING (account_id)"""
+SELECT {_id("b.account_id")} AS account_id, CAST(b.current_balance + coalesce(d.delta, 0) AS DECIMAL(18,2)) AS current_balance, greatest(TIMESTAMPTZ '1970-01-01 00:00:00+00', d.latest) AS last_transaction_timestamp FROM current_balances b LEFT JOIN d USING (account_id)"""
 
 
 @query("AGG14 J11 J10 FLT10 STR3", _BALANCE)
 def running_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = states.once_per_transaction(states.admit(table(spark, sf_dir, "recent_transactions")).select(*states.EVENT_COLUMNS))
     state = states.seed_balances(table(spark, sf_dir, "current_balances"))
-    return states.apply_balances(state, states.balance_deltas(events)).drop("updated_at")
+    return states.apply_balances(state, events).drop("updated_at")
 
 
-@query("WIN5 WIN6 SET2 STR4 SRT2", f"WITH e AS ({_ONCE}) SELECT account_id, transaction_id, transaction_timestamp FROM (SELECT *, row_number() OVER (PARTITION BY account_id ORDER BY transaction_timestamp DESC, transaction_id) AS rn FROM e) WHERE rn <= 50")
+@query("WIN5 WIN6 SRT2", f"WITH e AS ({_ONCE}) SELECT account_id, transaction_id, transaction_timestamp FROM (SELECT *, row_number() OVER (PARTITION BY account_id ORDER BY transaction_timestamp DESC, transaction_id) AS rn FROM e) WHERE rn <= 50")
 def recent_50(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = states.once_per_transaction(states.admit(table(spark, sf_dir, "recent_transactions")).select(*states.EVENT_COLUMNS))
     return states.last_n(events, SETTINGS.recent_kept).select("account_id", "transaction_id", "transaction_timestamp")
 
 
-@query("STR1 STR2 STR3 STR4 STR5 STR6 STR7 SRC5 SNK10 SRC4", _BALANCE)
+@query("STR1 STR3 STR6 STR7 SNK10 SRC4", _BALANCE)
 def stream_balances(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same balances by a stream over the table's files."""
     source = table(spark, sf_dir, "recent_transactions")
@@ -527,43 +560,148 @@ def stream_balances(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read(feed.BALANCES).drop("updated_at")
 
 
+_SENT = "SELECT *, transaction_timestamp AT TIME ZONE 'UTC' AS t FROM recent_transactions WHERE transaction_id IS NOT NULL AND account_id IN (SELECT account_id FROM current_balances) AND transaction_timestamp IS NOT NULL AND amount IS NOT NULL AND transaction_type IN ('DEBIT', 'CREDIT', 'FEE', 'REVERSAL')"
+_LANDED = f"SELECT DISTINCT ON (a, i) * FROM (SELECT {_id('account_id')} AS a, {_id('transaction_id')} AS i, date_trunc('second', t) AS s, amount, transaction_type, channel FROM ({_SENT})) ORDER BY a, i, s DESC"
+
+
+def _landed_stream(spark: SparkSession, sf_dir: str) -> Store:
+    """Lines of all recent transactions land as files out of order; the stream takes them a few files at a time."""
+    r = table(spark, sf_dir, "recent_transactions")
+    line = F.to_json(F.struct("transaction_id", "account_id", F.date_format("transaction_timestamp", "yyyy-MM-dd").alias("transaction_date"), F.date_format("transaction_timestamp", "HH:mm:ss").alias("transaction_time"), "transaction_type", F.col("amount").cast("string").alias("amount"), F.lit("R").alias("currency"), "channel"))
+    folder = scratch.new_path(spark, "landing")
+    for part in (1, 0):  # the later half of the arrivals lands first
+        half = r.where(F.pmod(F.xxhash64("transaction_id"), F.lit(2)) == part).orderBy(F.col("updated_at").desc())
+        half.select(line.alias("value")).write.mode("append").text(folder)
+    store = Store(spark, scratch.new_path(spark, "landed-store"))
+    store.overwrite(states.seed_balances(table(spark, sf_dir, "current_balances").withColumn("account_id", identifier(F.col("account_id")))), feed.BALANCES)
+    stream = feed.line_stream(spark, folder, pattern="part-*", files_per_batch=max(1, files.fingerprints(spark, folder).count() // 3))
+    feed.start(stream, store, scratch.new_path(spark, "landed-checkpoint"), written_at="2026-04-01 00:00:00").awaitTermination()
+    return store
+
+
+@query("SRC5 STR1 STR2 STR5 J10 SRT4", f"""WITH e AS ({_LANDED}), d AS (SELECT a, sum(CASE WHEN transaction_type IN ('CREDIT', 'REVERSAL') THEN amount ELSE -amount END) AS delta, max(s) AS latest FROM e GROUP BY 1)
+SELECT {_id("b.account_id")} AS account_id, CAST(b.current_balance + coalesce(d.delta, 0) AS DECIMAL(18,2)) AS current_balance, greatest(TIMESTAMP '1970-01-01', d.latest) AS last_at, CASE WHEN d.a IS NULL THEN TIMESTAMP '1970-01-01' ELSE TIMESTAMP '2026-04-01' END AS written_at FROM current_balances b LEFT JOIN d ON d.a = {_id("b.account_id")}""")
+def stream_of_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Balances and their times of writing, from JSON lines that land in files in the wrong order."""
+    state = _landed_stream(spark, sf_dir).read(feed.BALANCES)
+    return state.select("account_id", "current_balance", F.col("last_transaction_timestamp").cast("timestamp_ntz").alias("last_at"), F.col("updated_at").cast("timestamp_ntz").alias("written_at"))
+
+
+@query("STR4 SET2", f"WITH e AS ({_LANDED}) SELECT a AS account_id, i AS transaction_id, s AS at, amount FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY s DESC, i) AS rn FROM e) WHERE rn <= 50")
+def stream_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last 50 transactions of each account, as the same stream leaves them in the store."""
+    return _landed_stream(spark, sf_dir).read(feed.RECENT).select("account_id", "transaction_id", F.col("transaction_timestamp").cast("timestamp_ntz").alias("at"), "amount")
+
+
 def _is_folder(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
 
 
-@query("PRJ10 ADP1 ADP2 ADP3 ADP5 ADP7 ADP8 ADP9 SRC6 SNK2 AGG19 SET3", f"SELECT {_id('transaction_id')} AS transaction_id, min(ingested_at) AS first_at FROM transactions WHERE {_id('transaction_id')} IS NOT NULL GROUP BY 1")
+@query("PRJ10 ADP3 ADP8 SRC6 SNK2", f"SELECT {_id('transaction_id')} AS transaction_id, min(ingested_at) AS first_at FROM transactions WHERE {_id('transaction_id')} IS NOT NULL GROUP BY 1")
 def bucketed_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keep-first by buckets of the id: the same rows as all at once."""
+    """Keep-first by buckets of the id: the same rows as all at once. As many buckets as the source's bytes need."""
     t = table(spark, sf_dir, "transactions").select(identifier(F.col("transaction_id")).alias("transaction_id"), "ingested_at", "row_id").where("transaction_id is not null")
+    plan = buckets.preflight_files(spark, [f"{sf_dir}/transactions.parquet"], Settings(bucket_bytes=2 << 20), kind="parquet")
     store = Store(spark, scratch.new_path(spark, "buckets"))
-    plan = buckets.Preflight(0, 4, "once")
     buckets.ingest(t, "transaction_id", plan, store, "bronze")
     done = buckets.run(store, "bronze", "silver", plan, lambda b: dedupe.keep_first(b, ["transaction_id"], [F.col("ingested_at"), F.col("row_id")]))
     return done.select("transaction_id", F.col("ingested_at").alias("first_at"))
 
 
-@query("AGG19 (mergeable)", None)
+@query("ADP1 ADP2 ADP4 ADP5 ADP6 ADP7 ADP9 ADP10 ADP11 SRT3 SRT5 SNK6 SNK9 2.16-phases", f"WITH {_SILVER} SELECT transaction_type, count(*) AS n, sum(amount) AS total, true AS resumed_lost_bucket_only FROM ft GROUP BY 1")
+def resumed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole bucketed run after which one bucket's output is lost: a second run redoes that bucket and no other."""
+    store = Store(spark, scratch.new_path(spark, "resumed"))
+    settings = Settings(bucket_bytes=1 << 20, profile_mode="off")
+    size = buckets.preflight_files(spark, [f"{sf_dir}/transactions.parquet"], settings, kind="parquet")
+    plan = buckets.preflight(size.input_bytes, size.fingerprint, settings, buckets=max(2, size.buckets))
+    runner.run_auto(*_tables(spark, sf_dir), store, settings, plan)
+    versions = [store.pointer(f"judged/bucket={b}")["version"] for b in range(plan.buckets)]
+    scratch.remove(spark, store.location("judged/bucket=1"))
+    runner.run_auto(*_tables(spark, sf_dir), store, settings, plan)
+    again = [store.pointer(f"judged/bucket={b}")["version"] for b in range(plan.buckets)]
+    only = [b for b in range(plan.buckets) if again[b] != versions[b]] == [1]
+    return store.read("gold/fact_transactions").groupBy("transaction_type").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("total")).withColumn("resumed_lost_bucket_only", F.lit(only))
+
+
+@query("PRJ9 WIN7", f"SELECT k AS account_id, row_number() OVER (ORDER BY k) AS rank FROM (SELECT DISTINCT {_id('account_id')} AS k FROM accounts) WHERE k IS NOT NULL")
+def rank_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Surrogate keys by rank, by ranges of keys and offsets instead of one window over all rows."""
+    return rank_key(table(spark, sf_dir, "accounts").select(identifier(F.col("account_id")).alias("account_id")), "account_id", "rank")
+
+
+@query("PRJ3 PRJ4 PRJ2", f"""WITH {_SILVER}, g AS ({_GEO}) SELECT row_id, tj.transaction_id, tj.outcome, upper(trim(t.currency)) AS written, {_clean('t.currency')} AS currency_clean,
+  coalesce(NOT {_blank('t.currency')} AND {_clean('t.currency')} <> 'ZAR', false) AS currency_conversion_required, g.c AS geo_coordinate_raw, g.lat AS geo_latitude, g.lon AS geo_longitude,
+  nullif(concat_ws('|', {', '.join(f'CASE WHEN {v} THEN {chr(39)}{k}{chr(39)} END' for k, v in _FLAGS.items())}), '') AS geo_anomaly_flags
+  FROM tj JOIN transactions t USING (row_id) JOIN g USING (row_id) WHERE outcome = 'valid'""")
+def silver_with_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The silver transactions with their ten columns of provenance."""
+    return medallion.with_provenance_of(_judged(spark, sf_dir)[0], table(spark, sf_dir, "transactions"), SETTINGS).select(
+        "row_id", "transaction_id", "outcome", F.upper(F.trim("currency_raw")).alias("written"), "currency_clean", "currency_conversion_required", "geo_coordinate_raw", "geo_latitude", "geo_longitude", "geo_anomaly_flags"
+    )
+
+
+@query("AGG19", f"SELECT count(DISTINCT {_id('transaction_id')}) AS truth, true AS within_three_percent FROM transactions")
 def distinct_over_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return buckets.distinct_over_buckets(table(spark, sf_dir, "transactions").where("transaction_id is not null"), "transaction_id", 8)
+    """Distinct ids over buckets by merged sketches, against the exact number."""
+    t = table(spark, sf_dir, "transactions").select(identifier(F.col("transaction_id")).alias("k")).where("k is not null")
+    guess = buckets.distinct_over_buckets(t, "k", 8)
+    return t.agg(F.count_distinct("k").alias("truth")).crossJoin(F.broadcast(guess)).select("truth", (F.abs(F.col("distinct_keys") - F.col("truth")) <= F.col("truth") * 0.03).alias("within_three_percent"))  # one row each
 
 
-@query("SRC3 SRC7 SNK1 SNK3 SNK4 SNK8 SET1 PRJ1", "SELECT 'accounts' AS kind, count(*) AS rows, CAST(NULL AS VARCHAR) AS note FROM accounts UNION ALL SELECT 'customers', count(*), NULL FROM customers")
+@query("SRC3 SRC8 SNK1 SNK3 SNK8 SET1 PRJ1", "SELECT 'accounts' AS kind, count(*) AS rows, count(DISTINCT row_id) AS observed, CAST(NULL AS VARCHAR) AS note FROM accounts UNION ALL SELECT 'customers', count(*), count(DISTINCT row_id), NULL FROM customers")
 def store_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two tables written as versions, read back, and united with a missing column."""
+    """Two tables written as versions, twice, read back with the row counts observed, and united with a missing column."""
     store = Store(spark, scratch.new_path(spark, "store"))
+    parts = []
     for name in ("accounts", "customers"):
-        store.overwrite(table(spark, sf_dir, name), name, files=2)
-    a = store.read("accounts").agg(F.lit("accounts").alias("kind"), F.count(F.lit(1)).alias("rows"))
-    c = files.with_missing(store.read("customers").agg(F.lit("customers").alias("kind"), F.count(F.lit(1)).alias("rows")), {"note": "string"})
-    return a.unionByName(c, allowMissingColumns=True)
+        store.overwrite(table(spark, sf_dir, name).where("false"), name, files=2)
+        seen = store.overwrite(table(spark, sf_dir, name), name, files=2)["rows"]
+        parts.append(store.read(name).agg(F.lit(name).alias("kind"), F.count(F.lit(1)).alias("rows")).withColumn("observed", F.lit(seen).cast("long")))
+    return parts[0].unionByName(files.with_missing(parts[1], {"note": "string"}), allowMissingColumns=True)
 
 
-@query("SRC1 SRC11 SRC10", "SELECT count(*) AS rows FROM (SELECT DISTINCT region.* FROM region)")
+@query("SRC1", "SELECT " + ", ".join(f"coalesce({c}, '') AS {c}" for c in files.CUSTOMER_COLUMNS) + " FROM customers")
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All customers written as CSV and read back as text (a CSV file does not tell null from empty)."""
     path = scratch.new_path(spark, "csv")
-    table(spark, sf_dir, "region").write.option("header", True).csv(path)
-    return files.read_csv(spark, path).agg(F.count(F.lit(1)).alias("rows"))
+    table(spark, sf_dir, "customers").select(*files.CUSTOMER_COLUMNS).write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return files.read_csv(spark, path).na.fill("").select(*files.CUSTOMER_COLUMNS)
+
+
+@query("SRC10 SRC11", "SELECT true AS estimate_within_a_tenth, true AS sizes_add_up, true AS all_dated")
+def file_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a landing file estimated from a sample of its lines, against the true number; and its fingerprints."""
+    path = scratch.new_path(spark, "lines")
+    raw = table(spark, sf_dir, "raw_lines").where("file_name = 'transactions.jsonl'").select("line_text")
+    raw.write.text(path)
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    size = p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+    guess, truth = files.estimate_rows(spark, path), raw.count()
+    prints = files.fingerprints(spark, path)
+    return prints.agg(F.lit(abs(guess - truth) <= 0.1 * truth).alias("estimate_within_a_tenth"), (F.sum("file_size") <= size).alias("sizes_add_up"), (F.count("file_modification_time") == F.count(F.lit(1))).alias("all_dated"))
+
+
+@query("SRC7 SET3", "SELECT row_id, CAST(NULL AS VARCHAR) AS account_id, customer_id FROM customers UNION ALL SELECT row_id, account_id, NULL FROM accounts")
+def multi_path_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folders of different columns read as one table."""
+    paths = [scratch.new_path(spark, "part") for _ in range(2)]
+    table(spark, sf_dir, "customers").select("row_id", "customer_id").write.parquet(paths[0])
+    table(spark, sf_dir, "accounts").select("row_id", "account_id").write.parquet(paths[1])
+    return files.read_union(spark, paths).select("row_id", "account_id", "customer_id")
+
+
+@query("SNK4 SRC12", "SELECT 'bronze/accounts' AS table_name, 3 AS files UNION ALL SELECT 'gold/fact', 2 UNION ALL SELECT 'silver/customers', 1")
+def configured_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many files tables are written to by configuration: a table's own number, its layer's, the default."""
+    settings = load_settings(env={}, output_files={"default": 1, "bronze": 4, "bronze/accounts": 3, "gold": 2})
+    store = Store(spark, scratch.new_path(spark, "files"))
+    found = []
+    for name, source in (("bronze/accounts", "accounts"), ("gold/fact", "transactions"), ("silver/customers", "customers")):
+        store.overwrite(table(spark, sf_dir, source).repartition(8), name, settings.files_for(name))
+        found.append((name, files.fingerprints(spark, store.location(name), "parquet").count()))
+    return spark.createDataFrame(found, "table_name string, files int")
 
 
 # --- beyond the reference: windows in event time, rollup, as-of

@@ -31,26 +31,26 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     areas = places.where("place_kind in ('zone', 'province')").select("place_id", F.col("boundary").alias("ring"))
     labels = places.where("place_kind = 'province'").select("place_id", letters_only(F.col("place_label")).alias("label")).dropDuplicates(["place_id"])
     inside = proximity.points_in_regions(points, areas)
-    inside = inside.join(broadcast_if_small(labels, labels.count(), 80), "place_id", "left")
+    inside = inside.join(broadcast_if_small(labels), "place_id", "left")
     told = inside.where(F.col("label").isNull() | F.coalesce(F.col("stated") != F.col("label"), F.lit(True)))
     return near.unionByName(told.select("row_id", "place_id")).select(F.col("row_id").cast("bigint").alias("row_id"), "place_id")
 
 
 def p2_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``account_id`` (plain form), ``day``, ``amount`` of the rows that count once."""
+    """``entity`` (account in plain form), ``day``, ``total``, ``n`` of the rows that count once."""
     rows = table(spark, sf_dir, "transactions")
-    gone = delivery.surplus_deliveries(rows)
+    gone = scratch.materialise(delivery.surplus_deliveries(rows).withColumnRenamed("row_key", "row_id"), "surplus")
     counted = rows.select("row_id", identifier(F.col("account_id")).alias("key"), "transaction_date", "transaction_time", amount(F.col("amount")).alias("amount")).where("key is not null and amount is not null and transaction_date is not null")
-    counted = counted.join(gone.withColumnRenamed("row_key", "row_id"), "row_id", "left_anti")
-    dated = instants.normalise_instants(counted, "transaction_date", "transaction_time").where("instant is not null")
-    daily = rolling.daily_totals(dated, "key", "instant_date", "amount")
+    dated = instants.normalise_instants(counted, "transaction_date", "transaction_time", source="transactions").where("instant is not null")
+    once = skew_safe_join(dated.select("row_id", "key", "instant_date", "amount"), gone, "row_id", "left_anti")
+    daily = rolling.daily_totals(once, "key", "instant_date", "amount")
     owners = table(spark, sf_dir, "accounts").select(identifier(F.col("account_id")).alias("entity"), "account_id").where("entity is not null").groupBy("entity").agg(F.min("account_id").alias("account_id"))
     # daily rows of one account are at most as many as the days of the calendar: no skew is left here
     return daily.join(owners, "entity").select(F.col("account_id").alias("entity"), "day", "total", "n")
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trailing = rolling.trailing_totals(p2_amounts(spark, sf_dir), (7, 30), at_least=25_000.0)
+    trailing = rolling.trailing_totals(p2_amounts(spark, sf_dir), (7, 30))
     found = rolling.surges_and_lulls(trailing)
     return found.select(F.col("entity").alias("account_id"), F.date_format("day", "yyyy-MM-dd").alias("on_day"), "pattern")
 
@@ -113,19 +113,32 @@ def p6_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every stamp of both tables is normalised; those written in the normal form already are left out of the result."""
     dictionary = instants.StampDictionary(spark)
     rows = table(spark, sf_dir, "transactions").select("row_id", "transaction_date", "transaction_time")
-    rows = rows.where(F.col("transaction_date").isNotNull() & instants.not_plain(F.col("transaction_date"), F.col("transaction_time")))
-    stamped = instants.normalise_instants(rows, "transaction_date", "transaction_time", dictionary=dictionary).where("instant is not null")
+    stamped = instants.normalise_instants(rows, "transaction_date", "transaction_time", source="transactions", dictionary=dictionary).where("instant is not null")
+    stamped = stamped.where(instants.not_plain(F.col("transaction_date"), F.col("transaction_time")))
     parts = [stamped.select(F.lit("transactions").alias("src_table"), "row_id", F.lit("transaction_ts").alias("col_name"), F.date_format("instant", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("norm_text"))]
     accounts = table(spark, sf_dir, "accounts").select("row_id", F.explode(F.array(*(F.struct(F.lit(c).alias("col_name"), F.col(c).alias("raw")) for c in ("open_date", "last_activity_date")))).alias("v")).select("row_id", "v.*")
-    accounts = accounts.where(F.col("raw").isNotNull() & instants.not_plain(F.col("raw")))
-    dated = instants.normalise_instants(accounts, "raw", dictionary=dictionary).where("instant_date is not null")
+    dated = instants.normalise_instants(accounts, "raw", source="accounts", dictionary=dictionary).where("instant_date is not null").where(instants.not_plain(F.col("raw")))
     parts.append(dated.select(F.lit("accounts").alias("src_table"), "row_id", "col_name", F.date_format("instant_date", "yyyy-MM-dd").alias("norm_text")))
     return parts[0].unionByName(parts[1]).withColumn("row_id", F.col("row_id").cast("bigint"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p2_found, p2_totals, p3_found, p3_report, p4_found, p4_loaded, p5_found, p6_found, p6_daily, p7_found)}
+def p7_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many distinct texts the dictionary holds after the earlier and after the later half of the rows: the second load
+    parses only what is new."""
+    rows = table(spark, sf_dir, "transactions").select("row_id", "transaction_date", "transaction_time")
+    middle = rows.agg(F.floor((F.min("row_id") + F.max("row_id")) / 2).alias("m")).first()["m"]
+    path, found = scratch.new_path(spark, "stamp-dictionary"), []
+    for half in (F.col("row_id") <= middle, F.col("row_id") > middle):
+        dictionary = instants.StampDictionary(spark, path)  # opened anew for each load
+        instants.normalise_instants(rows.where(half), "transaction_date", "transaction_time", source="transactions", dictionary=dictionary)
+        found.append({r["role"]: r["count"] for r in dictionary.table().groupBy("role").count().collect()})  # one row a role
+    return spark.createDataFrame([(role, found[0].get(role, 0), n) for role, n in found[1].items()], "role string, first_load long, both_loads long")
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p2_found, p2_totals, p3_found, p3_report, p4_found, p4_loaded, p5_found, p6_found, p6_daily, p7_found, p7_dictionary)}
 
 _ID = "nullif(lower(regexp_replace({}, '[^\\p{{L}}\\p{{N}}]', '', 'g')), '')".format
 
@@ -149,7 +162,10 @@ SELECT transaction_id, arg_min(transaction_timestamp, updated_at) AS event, min(
   arg_min(account_id, updated_at) AS account_id, arg_min(amount, updated_at) AS amount
 FROM recent_transactions WHERE transaction_id IS NOT NULL GROUP BY 1"""
 
+_TEXTS = " UNION ALL ".join(f"SELECT '{r}' AS role, row_id, {c} AS t FROM transactions WHERE {p}" for r, c, p in (("date", "transaction_date", "transaction_date IS NOT NULL"), ("time", "transaction_time", "NOT regexp_full_match(coalesce(transaction_time, ''), '\\s*')")))
+
 ORACLES: dict[str, str] = {
+    "p7_dictionary": f"WITH t AS ({_TEXTS}), m AS (SELECT floor((min(row_id) + max(row_id)) / 2) AS m FROM transactions) SELECT role, count(DISTINCT t) FILTER (WHERE row_id <= m) AS first_load, count(DISTINCT t) AS both_loads FROM t, m GROUP BY 1",
     "p3_found": _P3,
     "p3_report": f"SELECT src_table, ref_month, orphan_type, count(*) AS n FROM ({_P3}) GROUP BY 1, 2, 3",
     "p5_found": f"SELECT row_id FROM (SELECT row_id, {_ID('transaction_id')} AS k, row_number() OVER (PARTITION BY {_ID('transaction_id')} ORDER BY ingested_at, row_id) AS rn FROM transactions) WHERE k IS NOT NULL AND rn > 1",

@@ -1,19 +1,22 @@
 """Versioned Parquet tables: overwrite and upsert without reading and writing one path, and without a lake format.
 
-A table is ``root/name/v=<n>/`` plus a pointer file that names the current version with its row count and the last batch
-applied. A write makes version n+1 and then moves the pointer in one rename; readers see the old or the new version,
-never a mixture. Paths go through Hadoop's file system, so any storage that Spark writes to will do.
+A table is ``root/name/v=<n>/`` plus numbered pointer documents (:mod:`lodestrom.sources.versions`), of which the highest names
+the current version with its row count and the last batch applied. A write makes version n+1 and then adds a pointer, which
+is one creation of a new file: readers see the old or the new version, never a mixture and never nothing, also where a file
+system cannot rename over an existing file, and also after a crash in between. Paths go through Hadoop's file system, so any
+storage that Spark writes to will do.
 """
 
 from __future__ import annotations
 
-import json
 from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lodestrom.sources.versions import Versions
+
 
 class Store:
     """Tables under one root."""
@@ -26,29 +29,31 @@ class Store:
         p = self._hadoop.Path(path)
         return p, p.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def _write_text(self, path: str, text: str) -> None:
-        """Write beside, then rename over."""
-        beside, fs = self._path(f"{path}.new")
-        out = fs.create(beside, True)
+    def write_text(self, path: str, text: str) -> None:
+        """A report for people; what later runs read back is kept by ``versions``."""
+        target, fs = self._path(path)
+        out = fs.create(target, True)
         out.write(bytearray(text.encode()))
         out.close()
-        target, _ = self._path(path)
-        if not fs.rename(beside, target):  # some file systems do not rename over an existing file
-            fs.delete(target, False)
-            fs.rename(beside, target)
-
-    def read_text(self, path: str) -> str | None:
-        p, fs = self._path(path)
-        if not fs.exists(p):
-            return None
-        source = fs.open(p)
-        text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
-        source.close()
-        return text
+
+    def versions(self, name: str) -> Versions:
+        """Numbered documents beside the tables, such as manifests."""
+        return Versions(self.spark, f"{self.root}/{name}")
 
     def pointer(self, table: str) -> dict[str, Any] | None:
-        text = self.read_text(f"{self.root}/{table}/_current.json")
-        return json.loads(text) if text else None
+        return self.versions(f"{table}/_pointers").latest()
+
+    def exists(self, table: str) -> bool:
+        """Whether the table's current version can be read: its pointer and its files are there."""
+        now = self.pointer(table)
+        if now is None:
+            return False
+        p, fs = self._path(self.location(table))
+        return fs.exists(p) and any(s.getPath().getName().startswith(("part-", "_SUCCESS")) or s.isDirectory() for s in fs.listStatus(p))
+
+    def location(self, table: str) -> str:
+        """The folder of the current version."""
+        return f"{self.root}/{table}/v={self.pointer(table)['version']}"
 
     def read(self, table: str, schema: T.StructType | None = None) -> DataFrame:
         """The current version; an empty frame of ``schema`` if there is none."""
@@ -70,13 +75,14 @@ class Store:
         out = df.observe(seen, F.count(F.lit(1)).alias("rows"), *(c.alias(k) for k, c in metrics.items()))
         if files:
             out = out.coalesce(files)
-        version = now["version"] + 1
+        pointers = self.versions(f"{table}/_pointers")
+        version = pointers.next_number()
         writer = out.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(f"{self.root}/{table}/v={version}")
         pointer = {"version": version, "batch_id": now["batch_id"] if batch_id is None else batch_id, "schema": df.schema.jsonValue()} | seen.get
-        self._write_text(f"{self.root}/{table}/_current.json", json.dumps(pointer, default=str))
+        pointers.publish(pointer, version)
         for old in range(max(1, version - self.keep - 1), version - self.keep + 1):
             p, fs = self._path(f"{self.root}/{table}/v={old}")
             fs.delete(p, True)

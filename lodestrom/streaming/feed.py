@@ -51,7 +51,7 @@ def apply_batch(store: Store, batch: DataFrame, batch_id: int, kept: int = 50, w
     seen = store.read(SEEN, spark.createDataFrame([], "transaction_id string, account_id string").schema)
     fresh = known.join(seen, ["account_id", "transaction_id"], "left_anti").persist()
     try:
-        store.overwrite(states.apply_balances(balances, states.balance_deltas(fresh), written_at), BALANCES, batch_id=batch_id)
+        store.overwrite(states.apply_balances(balances, fresh, written_at), BALANCES, batch_id=batch_id)
         old = store.read(RECENT, known.schema)
         both = states.once_per_transaction(old.unionByName(known))
         store.overwrite(states.last_n(both, kept), RECENT, batch_id=batch_id)
@@ -60,7 +60,7 @@ def apply_batch(store: Store, batch: DataFrame, batch_id: int, kept: int = 50, w
         fresh.unpersist()
 
 
-def start(stream: DataFrame, store: Store, checkpoint: str, kept: int = 50, once: bool = True) -> StreamingQuery:
+def start(stream: DataFrame, store: Store, checkpoint: str, kept: int = 50, once: bool = True, written_at: str | None = None) -> StreamingQuery:
     """Run the stream into the store; with ``once`` it stops when nothing is left to read."""
-    writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(lambda df, i: apply_batch(store, df, i, kept))
+    writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(lambda df, i: apply_batch(store, df, i, kept, written_at))
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="10 seconds")).start()
