@@ -1,8 +1,8 @@
 """Evaluation texts that leak into training text.
 
-A generalised suffix automaton of the normalised test items is built once on the driver (its size is bounded by the
-items' words, which is checked; more items than one automaton may hold are split over several) and broadcast. Each
-document's words are streamed through it; the automaton's state and the length of the longest match are tracked word by
+A generalised suffix automaton of the normalised test items is built on the driver and broadcast. Its size is bounded by the
+words it may hold (``AUTOMATON_WORDS``: about 300 MB); more items are split over several automata, of which one is held and
+broadcast at a time, in passes over the documents. Each document's words are streamed through it; the automaton's state and the length of the longest match are tracked word by
 word, so a document costs time in proportion to its own length, whatever the number of items.
 
 Defined results
@@ -17,16 +17,21 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestrom import scratch
+
 LEAST_WORDS = 12
 #: Words in one automaton; beyond that the items are split over several, each of which reads all documents.
-AUTOMATON_WORDS = 2_000_000
+AUTOMATON_WORDS = 500_000
 
 
 class _Fold(dict):
@@ -163,69 +168,127 @@ class Automaton:
         return self.chains[state]
 
 
-def build_automata(items: DataFrame, item_id: str = "item_id", text: str = "item_text", least: int = LEAST_WORDS, most_words: int = AUTOMATON_WORDS) -> list[Automaton]:
-    """Automata of the (held-out, hence few) test items; each holds at most ``most_words`` words."""
-    groups: list[list[tuple[int, list[str]]]] = [[]]
+def build_automata(items: DataFrame, item_id: str = "item_id", text: str = "item_text", least: int = LEAST_WORDS, most_words: int = AUTOMATON_WORDS) -> Iterator[Automaton]:
+    """Automata of the test items, one at a time; each holds at most ``most_words`` words, or one item if that is longer.
+
+    Items come to the driver one partition after the other, and only one automaton is held at a time.
+    """
+    group: list[tuple[int, list[str]]] = []
     held = 0
     for i, t in items.select(F.col(item_id).cast("long"), F.col(text)).distinct().toLocalIterator():
         words = words_of(t)
         if held and held + len(words) > most_words:
-            groups.append([])
-            held = 0
-        groups[-1].append((i, words))
+            yield Automaton(least).build(group)
+            group, held = [], 0
+        group.append((i, words))
         held += len(words)
-    return [Automaton(least).build(g) for g in groups if g]
-
-
-def find_leaks(docs: DataFrame, automata: list[Automaton], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, item_id, longest, covered``: for each leak the longest match and the share of the words it covers."""
+    if group:
+        yield Automaton(least).build(group)
+
+
+def _in_passes(automata: Iterable[Automaton], run: Callable[[Broadcast], DataFrame], spark: SparkSession) -> list[DataFrame]:
+    """``run`` with each automaton, of which only one is broadcast at a time: where there are several, the result of a pass
+    is written before the next automaton is built."""
+    queue = iter(automata)
+    first, second = next(queue, None), next(queue, None)
+    if first is None:
+        return []
+    if second is None:
+        return [run(spark.sparkContext.broadcast(first))]
+    done = []
+    for automaton in chain((first, second), queue):
+        shared = spark.sparkContext.broadcast(automaton)
+        done.append(scratch.materialise(run(shared), "leak-pass"))
+        shared.destroy()
+    return done
+
+
+def find_leaks(docs: DataFrame, automata: Iterable[Automaton], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id, item_id, longest, covered``: for each leak the longest match and the share of the words it covers.
+
+    Each automaton is one pass over the documents; one automaton of ``AUTOMATON_WORDS`` words is all that is ever broadcast.
+    """
     spark = docs.sparkSession
-    shared = [spark.sparkContext.broadcast(a) for a in automata]
-
-    def scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            out = []
-            for i, t in zip(f["doc_id"], f["text"], strict=True):
-                words = words_of(t)
-                found: dict[int, list[int]] = {}  # item: longest, words covered, end of the last match
-                for b in shared:
-                    for end, n, item in b.value.matches(words):
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where("text is not null")
+    schema = "doc_id long, item_id long, longest int, covered double"
+
+    def run(shared: Broadcast) -> DataFrame:
+        def scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            automaton = shared.value
+            for f in frames:
+                out = []
+                for i, t in zip(f["doc_id"], f["text"], strict=True):
+                    words = words_of(t)
+                    found: dict[int, list[int]] = {}  # item: longest, words covered, end of the last match
+                    for end, n, item in automaton.matches(words):
                         longest, covered, last = found.get(item, (0, 0, 0))
                         # least words (or the whole short item) are certain to be the item's own; more may be another's
-                        own = min(n, b.value.least)
+                        own = min(n, automaton.least)
                         found[item] = [max(longest, n), covered + end - max(last, end - own), end]
-                out += [(i, item, n, c / len(words)) for item, (n, c, _) in found.items()]
-            yield pd.DataFrame(out, columns=["doc_id", "item_id", "longest", "covered"])
+                    out += [(i, item, n, c / len(words)) for item, (n, c, _) in found.items()]
+                yield pd.DataFrame(out, columns=["doc_id", "item_id", "longest", "covered"])
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where("text is not null")
-    leaks = rows.mapInPandas(scan, "doc_id long, item_id long, longest int, covered double")
+        return rows.mapInPandas(scan, schema)
+
+    leaks = spark.createDataFrame([], schema)
+    for part in _in_passes(automata, run, spark):
+        leaks = leaks.unionByName(part)
     return leaks.groupBy("doc_id", "item_id").agg(F.max("longest").alias("longest"), F.max("covered").alias("covered"))
 
 
-def remove_leaks(docs: DataFrame, automata: list[Automaton], doc_id: str = "doc_id", text: str = "text", most_coverage: float = 0.5) -> DataFrame:
-    """``doc_id, text, removed, dropped``: leaked spans cut out; documents covered beyond ``most_coverage`` are dropped (text null)."""
+def remove_leaks(docs: DataFrame, automata: Iterable[Automaton], doc_id: str = "doc_id", text: str = "text", most_words: int | None = None, most_coverage: float = 0.5) -> DataFrame:
+    """``doc_id, text, removed, dropped``: leaked spans cut out; documents covered beyond ``most_coverage`` are dropped (text null).
+
+    A span is cut if it agrees with the items over more than ``most_words`` words (by default over all that the automata
+    find: ``least`` words, or a whole shorter item).
+    """
     spark = docs.sparkSession
-    shared = [spark.sparkContext.broadcast(a) for a in automata]
-
-    def cut(t: str) -> tuple[str | None, int, bool]:
-        spans = words_with_spans(t)
-        words = [w for w, _, _ in spans]
-        inside = [False] * len(words)
-        for b in shared:
-            for end, n, _ in b.value.matches(words):
-                inside[end - n : end] = [True] * n
-        if sum(inside) > most_coverage * len(words):
-            return None, sum(inside), True
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where("text is not null").withColumn("spans", F.array().cast("array<long>"))
+    schema = "doc_id long, text string, spans array<long>"
+
+    def marked(current: DataFrame, shared: Broadcast) -> DataFrame:
+        """``spans`` with the matches of one automaton added, as first and last word in turn."""
+
+        def scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            automaton = shared.value
+            for f in frames:
+                out = []
+                for t, spans in zip(f["text"], f["spans"], strict=True):
+                    ends: dict[int, int] = {}
+                    for end, n, _ in automaton.matches(words_of(t)):
+                        if most_words is None or n > most_words:
+                            ends[end] = max(n, ends.get(end, 0))
+                    out.append([*spans, *(x for end, n in ends.items() for x in (end - n, end))])
+                yield f.assign(spans=out)
+
+        return current.mapInPandas(scan, schema)
+
+    def cut(t: str, spans: Iterable[int]) -> tuple[str | None, int, bool]:
+        words = words_with_spans(t)
+        inside = np.zeros(len(words), bool)
+        for a, z in np.asarray(spans, np.int64).reshape(-1, 2):
+            inside[a:z] = True
+        if inside.sum() > most_coverage * len(words):
+            return None, int(inside.sum()), True
         kept, at = [], 0
-        for (_, a, z), leaked in zip(spans, inside, strict=True):
+        for (_, a, z), leaked in zip(words, inside, strict=True):
             if leaked:
                 kept.append(t[at:a])
                 at = z
-        return "".join([*kept, t[at:]]), sum(inside), False
+        return "".join([*kept, t[at:]]), int(inside.sum()), False
 
     def scrub(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            yield pd.DataFrame([(i, *cut(t)) for i, t in zip(f["doc_id"], f["text"], strict=True)], columns=["doc_id", "text", "removed", "dropped"])
-
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where("text is not null")
+            yield pd.DataFrame([(i, *(cut(t, s) if len(s) else (t, 0, False))) for i, t, s in zip(f["doc_id"], f["text"], f["spans"], strict=True)], columns=["doc_id", "text", "removed", "dropped"])
+
+    queue = iter(automata)
+    first, second = next(queue, None), next(queue, None)
+    for automaton in chain((first, second), queue):
+        if automaton is None:
+            continue
+        shared = spark.sparkContext.broadcast(automaton)
+        rows = marked(rows, shared)
+        if second is not None:  # several passes: each is written, so that one automaton is broadcast at a time
+            rows = scratch.materialise(rows, "leak-spans")
+            shared.destroy()
     return rows.mapInPandas(scrub, "doc_id long, text string, removed int, dropped boolean")

@@ -170,3 +170,16 @@ def fill_report(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     per = packed.groupBy("container").agg(F.sum("size").alias("used"), F.count(F.lit(1)).alias("n"))
     total = per.agg(F.count(F.lit(1)).alias("containers"), F.sum("n").alias("items"), F.sum("used").alias("tokens"), F.max("used").alias("fullest"))
     return total.withColumns({"least": F.ceil(F.col("tokens") / capacity), "filled": F.col("tokens") / (F.col("containers") * capacity)})
+
+
+def pack_checks(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """One row of what must hold of any packing: items, tokens, whether no container holds more than the capacity, whether
+    each piece lies in one container, whether pieces of a document tile it, and whether only documents beyond the capacity
+    were split."""
+    per = packed.groupBy("container").agg(F.sum("size").alias("used"))
+    pieces_of = packed.groupBy("doc_id", "tokens").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("piece").alias("pieces"), F.sum("size").alias("size"), F.max(F.col("start") + F.col("size")).alias("end"))
+    facts = pieces_of.agg(
+        F.sum("n").alias("items"), F.sum("size").alias("tokens"), F.every(F.col("n") == F.col("pieces")).alias("one_place_each"),
+        F.every((F.col("size") == F.col("tokens")) & (F.col("end") == F.col("tokens"))).alias("tiled"), F.every((F.col("n") == 1) | (F.col("tokens") > capacity)).alias("split_only_if_larger"),
+    )
+    return facts.crossJoin(per.agg(F.every(F.col("used") <= capacity).alias("within_capacity"), (F.sum("used") >= F.count(F.lit(1)) * capacity * 0.97).alias("nearly_full")))  # one row each

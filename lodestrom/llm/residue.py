@@ -1,33 +1,38 @@
 """Template residue and error-page text.
 
-Three kinds of evidence are combined:
-
-* *placeholder detectors*: patterns of unfilled template fields anywhere in a text (JVM regular expressions);
-* *body terms*: a line of its own, or the whole text, made of nothing but the words of one kind of notice - an error
-  message, a demand to switch scripts on, a request to fill a field, filler words. A real sentence that mentions such
-  things also has words of its own (names, objects), which no notice has;
-* *host evidence*: where records have no addresses or titles, the bundle a record was taken from is its host and its
-  source the site. A line of any words and length that stands alone in ``HOSTS`` or more bundles in the same words, and
-  most of whose distinct words hardly occur elsewhere in its source, is a boilerplate response even if no word of it is
-  known: its terms mismatch the host, and it is duplicated across hosts. A line form that makes up more than half of its
-  source's documents counts only with a notice's key term. Counts run over all documents; a null host or site is a value.
+Every line of a record, and its whole text, is compared with three things that stand for what the record should be about:
+the *slug* (the words of its source and bundle, where other corpora have an address), the *title* (its first line) and the
+*body terms* of its site (the words of all ordinary lines of the same source, by document frequency). A line is low in
+information and out of place where most of its terms are in none of them. Such a mismatch counts together with one of:
+
+* *host evidence*: the line stands, word for word, in ``HOSTS`` or more bundles (the hosts);
+* *learned terms*: all its terms come from responses that the host evidence has confirmed, wherever in the corpus, so that
+  a variant that stands only once is found as well;
+* *known terms*: the line is made only of words of one kind of notice (an error message, a demand to switch scripts on, a
+  request to fill a field, filler words), or has the form of a stack trace or of one word repeated.
+
+No word list decides alone: a listed line is residue only if the corpus says that it is out of place. *Placeholder detectors*
+(patterns of unfilled template fields anywhere in a text) are the one evidence that needs no other.
+
+Documents are scanned once, into a table of lines with their terms; all counts run over all lines of that table, whatever
+their words and length, and all of it is JVM code. Lines are counted by a hash of their skeleton and combined map-side first.
 
 Defined results
 ---------------
 * Null, empty and blank texts are no residue. Ties cannot arise: a document is flagged or not, with every kind found.
-* Repeated rows give one result per id. Empty tables give empty results. Only the named columns are read.
+* Repeated rows give one result per id. Empty tables give empty results. Only the named columns are read; a null host or
+  site is a value of its own.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestrom import scratch
+from lodestrom.functions.coordinates import let
 from lodestrom.operators.joins import broadcast_if_small
 
 # Names of HTML elements, which are no placeholders.
@@ -36,35 +41,36 @@ _HTML = "noscript|script|html|head|body|div|span|p|br|hr|a|b|i|u|em|strong|li|ul
 _MARKS = "chorus|verse|refrain|bridge|sic|note|edit|applause|laughter|music|laughs|inaudible|emphasis added|citation needed"
 # Verbs and nouns with which a bracket asks to be filled in.
 _ASK = "insert|enter|your|todo|tbd|add|type|fill|put|replace|name|su|ihr|ihre|ihren|votre|jou|naam|betrag|nom du|nombre|voeg|ingrese|inserte|saisir|saisissez|eingeben"
-_NAME = r"[\p{L}_][\p{L}\p{N}_.:\-]{0,60}"
+_NAME = r"[\p{L}_][\p{L}\p{N}_.:\-]*+"
 
 #: Unfilled template fields, by form.
 PLACEHOLDERS = (
-    r"\{\{[^{}\n]{1,80}\}\}",
-    r"\{%[^%{}\n]{1,80}%\}",
-    r"[$#@%]\{[^{}\n]{1,80}\}",
+    r"\{\{[^{}\n]++\}\}",
+    r"\{%[^%{}\n]++%\}",
+    r"[$#@%]\{[^{}\n]++\}",
     rf"\{{{_NAME}\}}",
     r"\{[0-9]{1,2}\}",
-    r"<%[^%<>\n]{1,80}%>",
-    r"<<[^<>\n]{1,80}>>",
-    rf"<(?!/)(?!(?i:{_HTML})\b)[\p{{L}}_][\p{{L}}\p{{N}}_.\-]{{2,60}}>",
-    rf"&lt;(?!/)(?!(?i:{_HTML})\b)[\p{{L}}_][\p{{L}}\p{{N}}_. \-]{{1,60}}&gt;",
-    r"\[\[[^\[\]\n]{1,80}\]\]",
+    r"<%[^%<>\n]++%>",
+    r"<<[^<>\n]++>>",
+    rf"<(?!/)(?!(?i:{_HTML})\b)[\p{{L}}_][\p{{L}}\p{{N}}_.\-]{{2,}}+>",
+    rf"&lt;(?!/)(?!(?i:{_HTML})\b)[\p{{L}}_][\p{{L}}\p{{N}}_. \-]++&gt;",
+    r"\[\[[^\[\]\n]++\]\]",
     r"\[[\p{L}][\p{L}\p{N}]*[._][\p{L}\p{N}_.]+\]",
     r"\[[\p{Ll}]+\p{Lu}[\p{L}\p{N}]*\]",
     rf"\[(?!(?i:{_MARKS})\])\p{{Lu}}[\p{{L}}\p{{N}}/]*(?:[ :/]+[\p{{L}}\p{{N}}/]+)*\]",
-    rf"\[(?i:{_ASK})\b[^\[\]\n]{{0,60}}\]",
-    r"\((?i:insert|enter|type|fill in|todo)\b[^()\n]{1,60}\)",
+    rf"\[(?i:{_ASK})\b[^\[\]\n]*+\]",
+    r"\((?i:insert|enter|type|fill in|todo)\b[^()\n]++\)",
     r"%\([\p{L}_][\p{L}\p{N}_.]*\)[sdif]",
     r"(?<![\p{L}\p{N}%])%[\p{L}_][\p{L}\p{N}_.]*%(?![\p{L}\p{N}])",
     r"(?<![\p{L}\p{N}%])%[sdif](?![\p{L}\p{N}%])",
     r"\$[\p{L}_][\p{L}\p{N}_.]*\$",
     r"@@[\p{L}_][\p{L}\p{N}_. ]*@@",
     r"##[\p{L}_][\p{L}\p{N}_. ]*##",
-    r"\*\|[^|\n]{1,60}\|\*",
+    r"\*\|[^|\n]++\|\*",
     r"__[\p{L}][\p{L}\p{N}.]*(?:_[\p{L}\p{N}.]+)*__",
 )
-_PLACEHOLDER = "|".join(f"(?:{p})" for p in PLACEHOLDERS)
+# Every form begins with one of these signs: other positions of a text need no further look.
+_PLACEHOLDER = r"(?=[{<&\[(%$@#*_])(?:" + "|".join(f"(?:{p})" for p in PLACEHOLDERS) + ")"
 
 # The words of notices, per kind and language: English, German, French, Spanish, Afrikaans. Fixed values.
 _COMMON = """
@@ -104,7 +110,6 @@ erreur introuvable indisponible refusé interdit existe déplacé déplacée sup
 disponible denegado prohibido eliminado eliminada encontrada encontrado inesperado rechazó respondió movido movida
 fout gevind onbeskikbaar beskikbaar bestaan geweier verbode verwyder geskuif onverwagte reageer
 """.split())
-#: Messages that are complete with these words alone, whatever the words' place in the list above.
 _FILLERS = """
 dummy sample example placeholder filler text texts copy body paragraph headline title caption description heading subtitle summary short label name content not final replace replaced before publishing publication later here insert add enter type write put edit your box field column second first third left right section this that will go goes lorem click tap
 beispieltext platzhaltertext platzhalter fülltext blindtext mustertext text überschrift titel beschreibung hier stelle dieser einfügen ergänzen eingeben ersetzen einsetzen bitte an vor veröffentlichung bildunterschrift
@@ -127,41 +132,17 @@ occaecat cupidatat non proident sunt culpa qui officia deserunt mollit anim id e
 """.split())
 
 _WORD = re.compile(r"[^\W\d_]+")
-_WORDS = {kind: frozenset(_WORD.findall(_COMMON + words)) for kind, words in (("script_demand", _SCRIPTS), ("error_message", _ERRORS), ("filler", _FILLERS))}
+_WORDS = {kind: sorted(set(_WORD.findall(_COMMON + words))) for kind, words in (("script_demand", _SCRIPTS), ("error_message", _ERRORS), ("filler", _FILLERS))}
 _KEYS = {"script_demand": _SCRIPT_KEY, "error_message": _ERROR_KEY, "filler": _FILLER_KEY}
-_TRACE = re.compile(r"traceback\b.*|(?:[a-z]+\.)*[a-z]*(?:error|exception): .+|at [a-z_$.]+\([a-z_]+\.java:[0-9]+\)|(?:fatal|uncaught|unhandled) (?:error|exception)\b.*", re.I)
-_TAG = re.compile(r"</?noscript>|\b(?:request|reference|trace|incident|correlation|session|error|ray)[ _-]?id\b[ :=#]*[\w-]+", re.I)
-#: A notice is a line: longer ones are text, whatever their words.
-MOST_WORDS = 60
-#: Bundles in which an unknown notice must stand, and the greatest share of its source's documents that hold its rare words.
-HOSTS, RARE, RARE_SHARE = 3, 0.004, 0.6
-
-
-def kind_of_line(line: str) -> str | None:
-    """The kind of notice that a line (or a whole text) is, or None."""
-    line = " ".join(_TAG.sub(" ", line).split())
-    if _TRACE.fullmatch(line):
-        return "error_message"
-    words = _WORD.findall(line.lower())
-    if not words:
-        return None
-    used = set(words)
-    if len(words) >= 4 and sum(w in _LATIN for w in words) >= 0.9 * len(words) and used & {"lorem", "ipsum", "dolor", "amet", "elit", "veniam", "nostrud", "fugiat", "aliqua", "minim", "magna"}:
-        return "filler"
-    if len(words) >= 2 and (used <= _JUNK or len(words) >= 3 and len(used) == 1):
-        return "filler"
-    if len(words) > MOST_WORDS:
-        return None
-    for kind, known in _WORDS.items():
-        if used & _KEYS[kind] and used <= known and not (kind == "script_demand" and re.search("[0-9]", line)):
-            return kind
-    return None
-
-
-def lines_of(text: str) -> list[str]:
-    """The whole text (unwrapped) and its lines."""
-    lines = [s for s in text.split("\n") if s.strip()]
-    return [text] if len(lines) == 1 else [text, *lines]
+_LATIN_KEY = ("lorem", "ipsum", "dolor", "amet", "elit", "veniam", "nostrud", "fugiat", "aliqua", "minim", "magna")
+_TRACE = r"(?i)^(?:traceback\b.*|(?:[a-z]+\.)*[a-z]*(?:error|exception): .+|at [a-z_$.]+\([a-z_]+\.java:[0-9]+\)|(?:fatal|uncaught|unhandled) (?:error|exception)\b.*)\z"
+_TAG = r"(?i)</?noscript>|\b(?:request|reference|trace|incident|correlation|session|error|ray)[ _-]?id\b[ :=#]*[\w-]+"
+#: Hosts in which an unknown notice must stand; a term is rare in a site's ordinary lines up to so many of them, or that share.
+HOSTS, RARE_LINES, RARE = 3, 3, 0.004
+#: A form of line in more than this share of a site's texts is the site's own.
+OWN = 0.25
+#: The share of a line's terms that must be out of place, by the evidence that it comes with.
+MISMATCH = {"duplicated": 0.6, "learned": 0.5, "known": 0.25}
 
 
 def placeholder(text: Column) -> Column:
@@ -169,48 +150,95 @@ def placeholder(text: Column) -> Column:
     return F.regexp_extract(text, f"({_PLACEHOLDER})", 1)
 
 
-def find_residue(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, kind, evidence`` of every placeholder and notice that the detectors know."""
+def _words(text: Column) -> Column:
+    return F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda w: w != "")
 
-    def scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            out = [(i, k, line.strip()[:200]) for i, t in zip(f["doc_id"], f["text"], strict=True) for line in lines_of(t) if (k := kind_of_line(line))]
-            yield pd.DataFrame(out, columns=["doc_id", "kind", "evidence"])
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where(F.col("text").rlike(r"\S"))
-    fields = rows.select("doc_id", F.lit("placeholder").alias("kind"), placeholder(F.col("text")).alias("evidence")).where("evidence <> ''")
-    notices = rows.mapInPandas(scan, "doc_id long, kind string, evidence string")
-    return fields.unionByName(notices)
+def _tidy(line: Column) -> Column:
+    """A line without tags, request numbers and superfluous blanks."""
+    return F.trim(F.regexp_replace(F.regexp_replace(line, _TAG, " "), r"\s+", " "))
 
 
-_TRIGGERS = r"(?i)\b(?:javascript|scripts?|skripte|skrips|error|fehler|erreur|fout|server|serveur|servidor|bediener|placeholder|dummy|lorem|http|denied|expired|unavailable|timeout|gateway|forbidden|publishing)\b"
+def _known_kind(tidy: Column, words: Column) -> Column:
+    """The kind of notice that a line looks like by its words or form, or null. This is evidence, not the verdict."""
+    all_of = lambda listed: F.forall(words, lambda w: w.isin(*listed))
+    any_of = lambda listed: F.exists(words, lambda w: w.isin(*listed))
+    n = F.size(words)
+    kind = F.when(tidy.rlike(_TRACE), "error_message")
+    kind = kind.when(n == 0, None)
+    kind = kind.when((n >= 4) & any_of(_LATIN_KEY) & (F.size(F.filter(words, lambda w: w.isin(*sorted(_LATIN)))) >= n * 0.9), "filler")
+    kind = kind.when((n >= 2) & (all_of(sorted(_JUNK)) | ((n >= 3) & (F.size(F.array_distinct(words)) == 1))), "filler")
+    for name, known in _WORDS.items():
+        said = any_of(sorted(_KEYS[name])) & all_of(known)
+        kind = kind.when(said & ~tidy.rlike("[0-9]") if name == "script_demand" else said, name)
+    return kind
 
 
-def host_evidence(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "bundle_id", site: str = "source") -> DataFrame:
-    """``doc_id, kind, evidence`` of stand-alone lines that mismatch their site and are duplicated across hosts.
-
-    Every line of every document counts, whatever its words and length. Lines are counted by a 128-bit hash of their
-    skeleton, map-side first, so that no text is shuffled; only lines that stand in ``HOSTS`` hosts are judged.
-    """
+def line_table(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "bundle_id", site: str = "source") -> DataFrame:
+    """``doc_id, host, site, nth, field, key, terms, title, kind``: one row per line of a document (``nth`` from 0)
+    and, where there are several, one for its whole text (``nth`` -1). ``field`` is the document's first placeholder."""
     value = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), value(host).alias("host"), value(site).alias("site")).where(F.col("text").rlike(r"\S"))
-    terms = lambda c: F.array_distinct(F.filter(F.split(F.lower(c), r"[^\p{L}]+"), lambda w: w != ""))
-    skeleton = F.trim(F.regexp_replace(F.regexp_replace(F.lower("line"), r"[0-9]+", "0"), r"[\s.]+", " "))
-    lines = rows.select("doc_id", "host", "site", F.explode(F.split("text", "\n")).alias("line")).where(F.col("line").rlike(r"\p{L}"))
-    lines = lines.withColumn("skeleton", skeleton).withColumn("key", F.unhex(F.md5("skeleton")))
-    spread = scratch.materialise(lines.groupBy("key").agg(F.count_distinct("host").alias("hosts")).where(F.col("hosts") >= HOSTS), "spread-lines")
-    # each spread line once: its text is read again, but not moved where the spread ones are few
-    kept = scratch.materialise(lines.join(broadcast_if_small(spread, spread.count(), 64), "key").drop("host"), "kept-lines")
-    # how many of the site's documents hold each term: one row per term and site, aggregated map-side
-    totals = rows.groupBy("site").agg(F.count(F.lit(1)).alias("docs"))
-    wanted = kept.select("site", F.explode(terms(F.col("line"))).alias("term")).distinct()
-    held = rows.select("site", F.explode(terms(F.col("text"))).alias("term")).groupBy("site", "term").agg(F.count(F.lit(1)).alias("n"))
-    # a term is rare if hardly any other document of the site holds it than those with this very line
-    own = kept.groupBy("key", "site").agg(F.count_distinct("doc_id").alias("own"))
-    counted = wanted.join(held, ["site", "term"]).join(totals, "site")
-    scored = kept.join(own, ["key", "site"]).withColumn("term", F.explode(terms(F.col("line")))).join(counted, ["site", "term"])
-    rare = (F.col("n") - F.col("own")) < F.greatest(F.lit(3.0), F.col("docs") * RARE)
-    # what most of a site's documents say is the site's own language, unless it has a notice's key term
-    foreign = (F.col("own") * 2 <= F.col("docs")) | F.col("line").rlike(_TRIGGERS)
-    judged = scored.groupBy("doc_id", "skeleton", "hosts").agg(F.avg((rare & foreign).cast("double")).alias("mismatch"))
-    return judged.where(F.col("mismatch") >= RARE_SHARE).select("doc_id", F.lit("duplicated_response").alias("kind"), F.col("skeleton").alias("evidence"))
+    held = let(F.filter(F.split("text", "\n"), lambda x: x.rlike(r"\S")), lambda x: F.when(F.size(x) > 1, F.concat(F.array(F.lit(None).cast("string")), x)).otherwise(F.array(F.lit(None).cast("string"))))
+    each = rows.withColumn("field", placeholder(F.col("text"))).select("doc_id", "host", "site", "field", "text", (F.size(held) > 1).alias("several"), F.posexplode(held).alias("at", "line"))
+    nth = F.when(F.col("several"), F.col("at") - 1).otherwise(0)
+    each = each.select("doc_id", "host", "site", nth.alias("nth"), F.when(F.col("at") == 0, F.col("field")).otherwise("").alias("field"), F.coalesce("line", "text").alias("line"), F.when(F.col("at") > 1, F.regexp_extract("text", r"^\s*([^\n]*)", 1)).alias("title"))
+    each = each.withColumn("tidy", _tidy(F.col("line"))).withColumn("words", _words(F.col("tidy")))
+    skeleton = F.regexp_replace(F.regexp_replace(F.lower("tidy"), r"[0-9]+", "0"), r"[\s.]+", " ")
+    return each.select(
+        "doc_id", "host", "site", "nth", "field", F.when(F.size("words") > 0, F.unhex(F.md5(F.trim(skeleton)))).alias("key"), F.array_distinct("words").alias("terms"),
+        F.when(F.col("title").isNotNull(), F.array_distinct(_words(F.col("title")))).alias("title"), _known_kind(F.col("tidy"), F.col("words")).alias("kind"),
+    )
+
+
+def _out_of_place(lines: DataFrame, body: DataFrame, totals: DataFrame) -> DataFrame:
+    """``doc_id, nth`` with ``terms`` and ``mismatch``, the share of terms that neither slug nor title nor body terms hold."""
+    term = F.explode("terms").alias("term")
+    each = lines.select("doc_id", "nth", "site", "slug", "title", term)
+    each = each.join(broadcast_if_small(body), ["site", "term"], "left").join(broadcast_if_small(totals), "site")
+    rare = F.coalesce("n", F.lit(0)) < F.greatest(F.lit(float(RARE_LINES)), F.col("lines") * RARE)
+    strange = rare & ~F.array_contains("slug", F.col("term")) & ~F.coalesce(F.array_contains("title", F.col("term")), F.lit(False))
+    return each.groupBy("doc_id", "nth").agg(F.avg(strange.cast("double")).alias("mismatch"))
+
+
+def find_residue(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "bundle_id", site: str = "source", lists: bool = True) -> DataFrame:
+    """``doc_id, kind, evidence, mismatch`` of every placeholder and every line or text that is a notice.
+
+    ``evidence`` says what else speaks against the line: ``field`` (with the placeholder as ``kind``), ``duplicated``,
+    ``learned`` or ``known``; a line can have several. Without ``lists`` no word list is consulted at all.
+    """
+    lines = scratch.materialise(line_table(docs, doc_id, text, host, site), "residue-lines")
+    fields = lines.where("field <> ''").select("doc_id", F.lit("placeholder").alias("kind"), F.lit("field").alias("evidence"), F.lit(None).cast("double").alias("mismatch"))
+    named = lines.where("key is not null")
+    if not lists:
+        named = named.withColumn("kind", F.lit(None).cast("string"))
+    totals = scratch.materialise(lines.where("nth = 0").groupBy("site").agg(F.count(F.lit(1)).alias("lines")), "site-lines")
+    # a host is a bundle of a site; a form that makes up a large share of a site's texts is the site's own way to write
+    forms = named.groupBy("key", "site").agg(F.count_distinct("host").alias("h"), F.count(F.lit(1)).alias("n"))
+    hosts = forms.groupBy("key").agg(F.sum("h").alias("hosts")).where(F.col("hosts") >= HOSTS)
+    spread = forms.join(hosts, "key").join(broadcast_if_small(totals), "site").where(F.col("n") <= F.col("lines") * OWN).select("key", "site", "hosts")
+    spread = scratch.materialise(spread, "spread-lines")
+    slug = F.array_distinct(F.concat(_words(F.col("site")), _words(F.col("host"))))
+    marked = named.join(broadcast_if_small(spread), ["key", "site"], "left").withColumn("slug", slug)
+    suspect = scratch.materialise(marked.where("hosts is not null or kind is not null").select("doc_id", "nth", "host", "site", "key", "terms", "title", "slug", "kind", "hosts"), "suspect-lines")
+    # body terms: of the ordinary lines only, and only those that a suspect line holds
+    wanted = broadcast_if_small(scratch.materialise(suspect.select(F.explode("terms").alias("term")).distinct(), "suspect-terms"))
+    ordinary = marked.where("hosts is null and kind is null")
+    body = scratch.materialise(ordinary.where("nth >= 0").select("site", F.explode("terms").alias("term")).join(wanted, "term", "left_semi").groupBy("site", "term").agg(F.count(F.lit(1)).alias("n")), "body-terms")
+    judged = scratch.materialise(suspect.join(_out_of_place(suspect, body, totals), ["doc_id", "nth"]), "judged-lines")
+    duplicated = judged.where(F.col("hosts").isNotNull() & (F.col("mismatch") >= MISMATCH["duplicated"]))
+    known = judged.where(F.col("kind").isNotNull() & (F.col("mismatch") >= MISMATCH["known"]))
+    # what the confirmed responses say: their terms, and which of these no ordinary line of the corpus holds
+    everywhere = body.groupBy("term").agg(F.sum("n").alias("n")).crossJoin(F.broadcast(totals.agg(F.sum("lines").alias("all"))))  # one row of one value
+    common = everywhere.where(F.col("n") >= F.greatest(F.lit(float(RARE_LINES)), F.col("all") * RARE)).select("term", F.lit(True).alias("common"))
+    said = duplicated.select(F.explode("terms").alias("term")).distinct().join(common, "term", "left").select("term", F.col("common").isNull().alias("strange"))
+    said = scratch.materialise(said, "learned-terms")
+    each = marked.where("hosts is null").select("doc_id", "nth", F.explode("terms").alias("term")).join(broadcast_if_small(said), "term", "left")
+    learned = each.groupBy("doc_id", "nth").agg(F.count(F.lit(1)).alias("n"), F.count("strange").alias("met"), F.count_if("strange").alias("strange"))
+    learned = learned.where((F.col("met") == F.col("n")) & (F.col("strange") >= F.col("n") * MISMATCH["learned"])).withColumn("mismatch", F.col("strange") / F.col("n"))
+    found = [
+        duplicated.select("doc_id", F.coalesce("kind", F.lit("response")).alias("kind"), F.lit("duplicated").alias("evidence"), "mismatch"),
+        known.select("doc_id", "kind", F.lit("known").alias("evidence"), "mismatch"),
+        learned.select("doc_id", F.lit("response").alias("kind"), F.lit("learned").alias("evidence"), "mismatch"),
+    ]
+    return fields.unionByName(found[0]).unionByName(found[1]).unionByName(found[2]).distinct()

@@ -90,7 +90,7 @@ def test_leaks_equal_brute_force(spark):
     di = spark.createDataFrame(docs, "doc_id long, text string")
     it = spark.createDataFrame([(i, t, "clash") for i, t in items], "item_id long, item_text string, doc_id string")
     for most in (10**6, 40):  # one automaton, and many
-        automata = leakage.build_automata(it, most_words=most)
+        automata = list(leakage.build_automata(it, most_words=most))
         assert (len(automata) == 1) == (most == 10**6)
         assert rows(leakage.find_leaks(di, automata), "doc_id", "item_id") == brute_leaks(docs, items)
     assert rows(leakage.find_leaks(di.where("false"), automata)) == [] == rows(leakage.find_leaks(di, leakage.build_automata(it.where("false"))))
@@ -107,7 +107,15 @@ def test_words_are_normalised():
 def test_leaked_spans_are_cut(spark):
     passage = "one two three four five six seven eight nine ten eleven twelve thirteen"
     docs = spark.createDataFrame([(1, f"Before {passage.upper()}, after all of this there is much more text that stays here for good."), (2, passage), (3, "clean"), (4, None)], "doc_id long, text string")
-    automata = leakage.build_automata(spark.createDataFrame([(9, passage)], "item_id long, item_text string"))
+    other = " ".join(f"q{i}" for i in range(12))
+    items = spark.createDataFrame([(9, passage), (10, other)], "item_id long, item_text string")
+    for most in (10**6, 10):  # in one pass, and in two
+        check_cut(docs, list(leakage.build_automata(items, most_words=most)))
+    long_only = leakage.remove_leaks(docs, list(leakage.build_automata(items)), most_words=13)
+    assert {r.removed for r in long_only.collect()} == {0}
+
+
+def check_cut(docs, automata):
     got = {r.doc_id: (r.text, r.removed, r.dropped) for r in leakage.remove_leaks(docs, automata).collect()}
     assert got[1][1:] == (13, False) and got[1][0].startswith("Before ") and "SEVEN" not in got[1][0] and got[1][0].endswith("for good.")
     assert got[2] == (None, 13, True) and got[3] == ("clean", 0, False) and 4 not in got
@@ -137,22 +145,13 @@ CLEAN = [
 
 def test_residue_and_clean_text(spark):
     texts = [*RESIDUE, *CLEAN]
-    df = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(texts)], "doc_id long, text string, kind string")
+    df = spark.createDataFrame([(i, t, "clash", f"b{i}", "s") for i, t in enumerate(texts)], "doc_id long, text string, kind string, bundle_id string, source string")
     got = {r.doc_id for r in residue.find_residue(df).collect()}
     assert [texts[i] for i in range(len(RESIDUE)) if i not in got] == []
     assert [str(texts[i])[:60] for i in range(len(RESIDUE), len(texts)) if i in got] == []
     assert rows(residue.find_residue(df.where("false"))) == []
 
 
-def test_unknown_notice_is_found_by_host_evidence(spark):
-    plain = [(i, f"The clerk number {i} opens the window and counts the people at the counter.", f"b{i % 7}", "s") for i in range(600)]
-    notice = [(1000 + i, "The clerk opens.\nKindly whitelist our javascript widgets forthwith", f"b{i}", "s") for i in range(4)]
-    once = [(2000, "Someone elsewhere teaches javascript gladly", "b1", "s"), (2001, None, None, None)]
-    df = spark.createDataFrame(plain + notice + once, "doc_id long, text string, bundle_id string, source string")
-    assert {r.doc_id for r in residue.host_evidence(df).collect()} == {1000, 1001, 1002, 1003}
-    assert rows(residue.host_evidence(df.where("false"))) == []
-
-
 @pytest.mark.parametrize("name", [n for n in queries.QUERIES])
 def test_queries_run(spark, name):
     assert queries.QUERIES[name](spark, str(DATA)).count() > 0
