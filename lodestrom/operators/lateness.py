@@ -3,7 +3,8 @@
 The arrival time is the clock. A period closes at its end and accepts corrections for the allowed lateness after it;
 whatever arrives later is diverted for reporting. State is keyed by (key, period); each arrival period that touches a
 state emits its updated aggregate as a new revision of that key, to be applied by upsert (the highest revision wins).
-:mod:`lodestrom.streaming.corrections` runs the same functions on a stream.
+:mod:`lodestrom.streaming.corrections` keeps the state: it streams records through watermarked windows and judges what is in
+force with the functions of this module, which by themselves do the same for a whole table at once.
 
 Defined results
 ---------------

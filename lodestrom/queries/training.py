@@ -13,6 +13,7 @@ from lodestrom.functions.coordinates import letters_only, with_points
 from lodestrom.functions.keys import identifier
 from lodestrom.operators import delivery, instants, lateness, lines, proximity, references, rolling
 from lodestrom.operators.joins import broadcast_if_small, skew_safe_join
+from lodestrom.streaming import corrections
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -86,32 +87,50 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found[0].unionByName(found[1]).unionByName(found[2])
 
 
+def p4_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landing lines that do not load, with the fault, the cheapest edits that would mend it, and their number."""
+    rejected = lines.split_lines(lines.parse_lines(table(spark, sf_dir, "raw_lines")))[1]
+    return rejected.select("line_id", "fmt", "fault", "reason", "cost", "least")
+
+
 def p4_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The landing lines that load, typed."""
-    return lines.split_lines(lines.parse_lines(table(spark, sf_dir, "raw_lines")))[0]
+    """What loads of all three sources, typed, with all their columns."""
+    loaded = lines.split_lines(lines.parse_lines(table(spark, sf_dir, "raw_lines")))[0]
+    parts = {
+        "raw_lines": loaded.drop("fmt").withColumnRenamed("line_id", "row_id"),
+        "transactions": lines.readable_rows(table(spark, sf_dir, "transactions"), "row_id", "amount"),
+        "accounts": lines.readable_rows(table(spark, sf_dir, "accounts"), "row_id", "current_balance", "credit_limit"),
+    }
+    whole = [df.withColumn("src_table", F.lit(t)) for t, df in parts.items()]
+    return whole[0].unionByName(whole[1], allowMissingColumns=True).unionByName(whole[2], allowMissingColumns=True)
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delivery.surplus_deliveries(table(spark, sf_dir, "transactions")).select(F.col("row_key").alias("row_id"))
 
 
-def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    recent = table(spark, sf_dir, "recent_transactions")
-    return lateness.judge_lateness(lateness.first_arrivals(recent, "transaction_id", "transaction_timestamp", "updated_at", "account_id", "amount"))
+def _streamed(spark: SparkSession, sf_dir: str) -> corrections.CorrectionStream:
+    return corrections.replay(table(spark, sf_dir, "recent_transactions"), "transaction_id", "transaction_timestamp", "updated_at", "account_id", "amount")
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    late = _judged(spark, sf_dir).where("verdict in ('late', 'too_late') and record is not null").select(F.lit("recent_transactions").alias("src_table"), F.col("record").alias("record_id"), "verdict")
+    late = _streamed(spark, sf_dir).records().where("verdict in ('late', 'too_late') and record is not null").select(F.lit("recent_transactions").alias("src_table"), F.col("record").alias("record_id"), "verdict")
     stale = lateness.stale_states(table(spark, sf_dir, "current_balances"), table(spark, sf_dir, "recent_transactions"), "account_id", "last_transaction_timestamp", "updated_at", "transaction_timestamp", "updated_at")
     return late.unionByName(stale.select(F.lit("current_balances").alias("src_table"), F.col("key").alias("record_id"), F.lit("stale").alias("verdict")))
 
 
 def p6_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corrected daily totals per account after all upserts."""
-    state = lateness.corrected(lateness.upserts(_judged(spark, sf_dir), "c_account_id", "c_amount"))
+    state = _streamed(spark, sf_dir).totals()
     return state.select(F.col("key").alias("account_id"), F.date_format("period_start", "yyyy-MM-dd").alias("event_day"), F.col("revision").cast("bigint").alias("revision"), "n", F.col("total").cast("decimal(28,2)").alias("total"))
 
 
+def p6_diverted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What came too late, per event day and account."""
+    gone = _streamed(spark, sf_dir).diverted()
+    return gone.groupBy(F.date_format("event", "yyyy-MM-dd").alias("event_day"), F.col("c_key").alias("account_id")).agg(F.count(F.lit(1)).alias("n"), F.sum("c_amount").cast("decimal(28,2)").alias("total"))
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every stamp of both tables is normalised; those written in the normal form already are left out of the result."""
     dictionary = instants.StampDictionary(spark)
@@ -138,7 +157,7 @@ def p7_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(role, found[0].get(role, 0), n) for role, n in found[1].items()], "role string, first_load long, both_loads long")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p2_found, p2_totals, p3_found, p3_report, p4_found, p4_loaded, p5_found, p6_found, p6_daily, p7_found, p7_dictionary)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p2_found, p2_totals, p3_found, p3_report, p4_found, p4_rejected, p4_loaded, p5_found, p6_found, p6_daily, p6_diverted, p7_found, p7_dictionary)}
 
 _ID = "nullif(lower(regexp_replace({}, '[^\\p{{L}}\\p{{N}}]', '', 'g')), '')".format
 
@@ -164,7 +183,52 @@ FROM recent_transactions WHERE transaction_id IS NOT NULL GROUP BY 1"""
 
 _TEXTS = " UNION ALL ".join(f"SELECT '{r}' AS role, row_id, {c} AS t FROM transactions WHERE {p}" for r, c, p in (("date", "transaction_date", "transaction_date IS NOT NULL"), ("time", "transaction_time", "NOT regexp_full_match(coalesce(transaction_time, ''), '\\s*')")))
 
+_READABLE = "[ \\t]*[+-]?[0-9]{1,16}(\\.[0-9]{1,2})?[ \\t]*"
+
+
+def _fault(main: str, limit: str | None = None) -> str:
+    blank = "regexp_full_match(coalesce({}, ''), '\\s*')".format
+    bad = f"NOT regexp_full_match({main}, '{_READABLE}')" + (f" OR (NOT {blank(limit)} AND NOT regexp_full_match({limit}, '{_READABLE}'))" if limit else "")
+    return f"CASE WHEN {blank(main)} THEN 'missing_value' WHEN {bad} THEN 'bad_number' END"
+
+
+def _number(c: str) -> str:
+    return f"CASE WHEN regexp_full_match({c}, '{_READABLE}') THEN CAST(trim(translate({c}, chr(9), ' ')) AS DECIMAL(18,2)) END"
+
+
+_FIELD = '("(?:[^"]|"")*"|[^",\\r\\n]*)'
+_UNQUOTED = "CASE WHEN x[1] = chr(34) THEN replace(x[2 : len(x) - 1], chr(34) || chr(34), chr(34)) ELSE x END"
+# CSV lines by a regular expression of whole records; JSON lines by DuckDB's reader, less what it allows beyond RFC 8259
+_P4_LINES = f"""
+c AS (SELECT line_id, coalesce(line_text, '') AS t, list_transform(regexp_extract_all(coalesce(line_text, '') || ',', '{_FIELD},', 1), lambda x: {_UNQUOTED}) AS f FROM raw_lines WHERE file_name = 'accounts.csv'),
+cj AS (SELECT *, CASE WHEN NOT regexp_full_match(t, '{_FIELD}(?:,{_FIELD})*') THEN 'bad_quoting' WHEN len(f) <> 11 THEN 'column_count' ELSE {_fault('f[10]', 'f[9]')} END AS fault FROM c),
+j AS (SELECT line_id, CASE WHEN json_valid(line_text) AND json_type(line_text) = 'OBJECT' AND NOT regexp_matches(line_text, ',\\s*[}}\\]]|[:,\\[]\\s*-?(?i:nan|inf)') THEN line_text END AS o FROM raw_lines WHERE file_name = 'transactions.jsonl'),
+jj AS (SELECT *, CASE WHEN o IS NULL THEN 'bad_json' WHEN json_type(o, '$.amount') IN ('OBJECT', 'ARRAY', 'BOOLEAN') THEN 'bad_number' ELSE {_fault("(o ->> '$.amount')")} END AS fault FROM j)"""
+
+_ACCOUNT = ("account_id", "customer_ref", "account_type", "account_status", "open_date", "product_tier", "mobile_number", "digital_channel", "credit_limit", "current_balance", "last_activity_date")
+_TRANSACTION = ("transaction_id", "account_id", "transaction_date", "transaction_time", "transaction_type", "merchant_category", "merchant_subcategory", "amount", "currency", "channel")
+
+
+def _columns(source: dict[str, str]) -> str:
+    """The columns of p4_loaded; ``source`` says how those that a source has are read."""
+    money = ("amount", "credit_limit", "current_balance")
+    every = dict.fromkeys((*_ACCOUNT, *_TRANSACTION, *lines.NESTED_COLUMNS, "retry_flag"))
+    return ", ".join(f"{(_number(source[c]) if c in money else source[c]) if c in source else 'CAST(NULL AS ' + ('DECIMAL(18,2)' if c in money else 'BOOLEAN' if c == 'retry_flag' else 'VARCHAR') + ')'} AS {c}" for c in every)
+
+
+_IN_JSON = {c: f"(o ->> '$.{c}')" for c in _TRANSACTION} | {c: f"(o ->> '$.{p}.{c}')" for c, p in lines.NESTED_COLUMNS.items()} | {"retry_flag": "CAST((o ->> '$.metadata.retry_flag') AS BOOLEAN)"}
+_IN_TABLE = {c: c for c in _TRANSACTION} | {c: f"{p}.{c}" for c, p in lines.NESTED_COLUMNS.items()} | {"retry_flag": "metadata.retry_flag"}
+
 ORACLES: dict[str, str] = {
+    "p4_found": f"""WITH {_P4_LINES}
+SELECT 'raw_lines' AS src_table, line_id AS row_id, fault FROM cj WHERE fault IS NOT NULL UNION ALL SELECT 'raw_lines', line_id, fault FROM jj WHERE fault IS NOT NULL
+UNION ALL SELECT 'transactions', row_id, {_fault('amount')} AS fault FROM transactions WHERE fault IS NOT NULL
+UNION ALL SELECT 'accounts', row_id, {_fault('current_balance', 'credit_limit')} AS fault FROM accounts WHERE fault IS NOT NULL""",
+    "p4_loaded": f"""WITH {_P4_LINES}
+SELECT 'raw_lines' AS src_table, line_id AS row_id, {_columns({c: f'f[{i}]' for i, c in enumerate(_ACCOUNT, 1)})} FROM cj WHERE fault IS NULL
+UNION ALL SELECT 'raw_lines', line_id, {_columns(_IN_JSON)} FROM jj WHERE fault IS NULL
+UNION ALL SELECT 'transactions', row_id, {_columns(_IN_TABLE)} FROM transactions WHERE {_fault('amount')} IS NULL
+UNION ALL SELECT 'accounts', row_id, {_columns({c: c for c in _ACCOUNT})} FROM accounts WHERE {_fault('current_balance', 'credit_limit')} IS NULL""",
     "p7_dictionary": f"WITH t AS ({_TEXTS}), m AS (SELECT floor((min(row_id) + max(row_id)) / 2) AS m FROM transactions) SELECT role, count(DISTINCT t) FILTER (WHERE row_id <= m) AS first_load, count(DISTINCT t) AS both_loads FROM t, m GROUP BY 1",
     "p3_found": _P3,
     "p3_report": f"SELECT src_table, ref_month, orphan_type, count(*) AS n FROM ({_P3}) GROUP BY 1, 2, 3",
@@ -179,6 +243,10 @@ SELECT 'current_balances', account_id, 'stale' FROM (
   SELECT b.account_id, b.last_transaction_timestamp AS said, max(r.transaction_timestamp) AS latest
   FROM current_balances b JOIN recent_transactions r ON r.account_id = b.account_id AND r.updated_at <= b.updated_at GROUP BY 1, 2, b.updated_at)
 WHERE said IS DISTINCT FROM latest""",
+    "p6_diverted": f"""
+WITH f AS ({_FIRST}),
+e AS (SELECT *, date_trunc('day', event AT TIME ZONE 'UTC') AS d, arrival AT TIME ZONE 'UTC' AS a FROM f)
+SELECT strftime(d, '%Y-%m-%d') AS event_day, account_id, count(*) AS n, CAST(sum(amount) AS DECIMAL(28,2)) AS total FROM e WHERE a > d + INTERVAL 3 DAY GROUP BY 1, 2""",
     "p6_daily": f"""
 WITH f AS ({_FIRST}),
 e AS (SELECT *, date_trunc('day', event AT TIME ZONE 'UTC') AS d, arrival AT TIME ZONE 'UTC' AS a FROM f)

@@ -4,17 +4,18 @@ from __future__ import annotations
 
 import json
 import os
+import shutil
 from datetime import UTC, date, datetime
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from lodestrom.config import Settings, load_settings
+from lodestrom.config import Settings, infer_stage, load_settings
 from lodestrom.functions import currency, geo
 from lodestrom.functions.keys import bucket_of, surrogate_key
 from lodestrom.functions.parse import age_band, is_date_variant, parse_date, parse_timestamp
-from lodestrom.operators import dedupe, frequency, states
+from lodestrom.operators import dedupe, frequency, lateness, ranks, states
 from lodestrom.plans import buckets, medallion, profile, quality, validate
 from lodestrom.sources import files
 from lodestrom.sources.store import Store
@@ -119,18 +120,20 @@ def test_every_row_has_one_outcome(gold):
     assert flags == {"clean": "TYPE_MISMATCH", "dup": "TYPE_MISMATCH", "same": "TYPE_MISMATCH", "quoted": "TYPE_MISMATCH", "number": None, "nosub": "TYPE_MISMATCH", "rand": "TYPE_MISMATCH", "dmy": "TYPE_MISMATCH"}
 
 
-def test_gold_closes(gold):
+def test_gold_closes(spark, gold):
     tables, judged, split = gold
     fact, accounts, customers = (tables[f"gold/{t}"] for t in ("fact_transactions", "dim_accounts", "dim_customers"))
     assert fact.columns == list(medallion.FACT) and accounts.columns == list(medallion.DIM_ACCOUNT) and customers.columns == list(medallion.DIM_CUSTOMER)
     assert fact.select("transaction_sk").distinct().count() == fact.count() == 8
     assert fact.join(accounts, "account_sk", "left_anti").count() == fact.join(customers, "customer_sk", "left_anti").count() == 0
-    assert validate.failures(fact, accounts, customers, types=1) == [] and "1 transaction types, not 4" in validate.failures(fact, accounts, customers)
+    assert validate.failures(fact, accounts, customers, types=1, provinces=1) == [] and set(validate.failures(fact, accounts, customers)) == {"1 transaction types, not 4", "accounts in 1 provinces, not 9"}
     issues = [r.asDict() for r in quality.issue_counts(judged, split.rejected).collect()]
     report = quality.report(issues, Settings(), {"transactions": len(LINES)})
     assert {i["issue_type"]: i["records_affected"] for i in report["dq_issues"]} == {"DUPLICATE_DEDUPED": 2, "ORPHANED_ACCOUNT": 1, "TYPE_MISMATCH": 14, "DATE_FORMAT": 1, "CURRENCY_VARIANT": 1, "NULL_REQUIRED": 1}
     assert json.loads(quality.to_json(report))["summary"]["total_issue_types"] == 6
-    assert quality.share(1, 3) == {"count": 1, "pct": 33.33} and quality.share(None, 0)["pct"] == 0.0
+    assert {i["issue_type"]: i["handling_action"] for i in report["dq_issues"]}["NULL_REQUIRED"] == "EXCLUDED_NULL_PK"
+    pct = spark.range(1).select(profile.percent(F.lit(1), F.lit(3)).alias("a"), profile.percent(F.lit(None).cast("long"), F.lit(0)).alias("b")).first()
+    assert (pct.a, pct.b) == (33.33, 0.0)
 
 
 def test_provenance(spark):
@@ -202,7 +205,10 @@ def test_settings(tmp_path):
     (tmp_path / "s.yaml").write_text("top_k: 9\ndomains: {customers.gender: [A]}\noutput_files: {default: 2, gold: 3, gold/fact: 4}\n")
     s = load_settings(tmp_path / "s.yaml", as_of="2030-01-01")
     assert (s.top_k, s.as_of, s.domains["customers.gender"]) == (9, "2030-01-01", ("A",)) and "transactions.channel" in s.domains
-    assert [s.files_for(t) for t in ("gold/fact", "gold/dim", "silver/x")] == [4, 3, 2] and load_settings(tmp_path / "none.json") == Settings()
+    assert [s.files_for(t) for t in ("gold/fact", "gold/dim", "silver/x")] == [4, 3, 2] and load_settings(tmp_path / "none.json", env={}) == Settings()
+    assert load_settings(env={"PIPELINE_CONFIG": str(tmp_path / "s.yaml"), "OUTPUT_FILES": "7"}).files_for("gold/fact") == 7 and load_settings(env={"PIPELINE_CONFIG": str(tmp_path / "s.yaml")}).top_k == 9
+    (tmp_path / "stream_1.jsonl").write_text("")
+    assert [infer_stage({}, tmp_path), infer_stage({}, None, tmp_path / "s.yaml"), infer_stage({}), infer_stage({"PIPELINE_STAGE": "2"}, tmp_path)] == ["3", "2", "1", "2"]
 
 
 # --- streaming
@@ -240,21 +246,66 @@ def test_stream_state_does_not_depend_on_order_or_restarts(spark, tmp_path, orde
     assert {r.account_id: r.current_balance for r in store.read(feed.BALANCES).collect()} == {k: v[0] for k, v in got.items()}
 
 
-def test_corrections_by_batch_equal_all_at_once(spark, tmp_path):
-    t = lambda d, h=0: datetime(2024, 1, d, h, tzinfo=UTC)
-    data = [("1", "k", t(1, 5), t(1, 6), Decimal(1)), ("2", "k", t(1, 7), t(3), Decimal(2)), ("3", "k", t(1, 8), t(9), Decimal(4)), ("2", "k", t(1, 7), t(2, 12), Decimal(2)), ("4", "m", t(2), t(2, 1), Decimal(8))]
-    df = spark.createDataFrame(data, "id string, k string, event timestamp, arrival timestamp, v decimal(18,2)")
-    store = Store(spark, str(tmp_path / "s"))
-    for b, part in enumerate((data[:2], data[2:])):
-        corrections.apply_batch(store, spark.createDataFrame(part, df.schema), b, "id", "event", "arrival", "k", "v")
-    got = {(r.key, r.period_start.astimezone(UTC).day): (r.n, r.total) for r in store.read(corrections.STATE).collect()}
-    assert got == {("k", 1): (2, Decimal(3)), ("m", 2): (1, Decimal(8))}
-    assert rows(store.read(corrections.DIVERTED), "record") == [("3",)]
-    df.repartition(3).write.parquet(str(tmp_path / "in"))
-    streamed = Store(spark, str(tmp_path / "streamed"))
-    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    corrections.start(stream, streamed, str(tmp_path / "check"), "id", "event", "arrival", "k", "v").awaitTermination()
-    assert rows(streamed.read(corrections.STATE), "key", "n", "total") == rows(store.read(corrections.STATE), "key", "n", "total")
+EVENTS = "record string, event timestamp, arrival timestamp, key string, amount decimal(18,2)"
+
+
+def record(i, day, arrives, key="k", amount=1):
+    return (i, *(t and datetime(2024, 1, *t, tzinfo=UTC) for t in (day, arrives)), key, Decimal(amount))
+
+
+RECORDS = [
+    record("1", (1, 5), (1, 6)), record("2", (1, 7), (3,), amount=2), record("3", (1, 8), (9,), amount=4), record("4", (2,), (2, 1), "m", 8), record("2", (1, 7), (2, 12), amount=2),
+    record("5", (9,), (2,), "m"), record("6", None, (1,)), record("7", (1,), None), record(None, (1,), (1, 3), amount=16), record(None, (1,), (1, 3), amount=16), record("8", (1, 1), (1, 2), None, 32),
+    record("moved", (2, 3), (3,), amount=64), record("moved", (1, 3), (2, 2), amount=64), record("late", (1,), (8,)), record("late", (1,), (9,)), record("saved", (1,), (8,)), record("saved", (1,), (1, 9), amount=128),
+]
+
+
+def outcome(judged):
+    totals = lateness.corrected(lateness.upserts(judged, "c_key", "c_amount"))
+    return rows(judged, "record", "verdict"), rows(totals, "key", "period_start", "n", "total")
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_stream_of_corrections_equals_batch_in_any_order(spark, tmp_path, order):
+    import random
+
+    made = list(RECORDS)
+    random.Random(order).shuffle(made)
+    whole = lateness.judge_lateness(lateness.first_arrivals(spark.createDataFrame(RECORDS, EVENTS), "record", "event", "arrival", "key", "amount"))
+    state = corrections.CorrectionStream(spark, str(tmp_path / "state"), disorder_hours=24 * 30)
+    for n, part in enumerate((made[:6], made[6:12], made[12:])):
+        spark.createDataFrame(part, EVENTS).repartition(2).write.mode("append").parquet(str(tmp_path / "in"))
+        if n != 1:  # stopped and started again between the first and the later batches
+            corrections.CorrectionStream(spark, state.root, disorder_hours=24 * 30).run(spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 2).parquet(str(tmp_path / "in")))
+    assert outcome(state.records()) == outcome(whole)
+    got = dict(outcome(whole)[0])
+    assert (got["2"], got["3"], got["5"], got["6"], got["late"], got["saved"]) == ("late", "too_late", "on_time", "untimed", "too_late", "on_time")
+    days = {(k, d.astimezone(UTC).day): (n, t) for k, d, n, t in outcome(whole)[1]}
+    assert days["k", 1] == (7, Decimal(1 + 2 + 16 + 16 + 64 + 128 + 0) + 0) or days["k", 1][1] == Decimal(227)
+    assert ("k", 2) not in days  # the record that moved is on one day only
+
+
+def test_replay_and_empty_tables(spark):
+    df = spark.createDataFrame(RECORDS, EVENTS)
+    whole = lateness.judge_lateness(lateness.first_arrivals(df, "record", "event", "arrival", "key", "amount"))
+    assert outcome(corrections.replay(df, "record", "event", "arrival", "key", "amount", batches=3).records()) == outcome(whole)
+    assert rows(corrections.replay(df.where("false"), "record", "event", "arrival", "key", "amount").records()) == []
+
+
+def test_state_is_evicted_and_lost_records_are_noticed(spark, tmp_path):
+    def feed_in(name, data):
+        spark.createDataFrame(data, EVENTS).coalesce(1).write.mode("append").parquet(str(tmp_path / name))
+        return spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / name))
+
+    state = corrections.CorrectionStream(spark, str(tmp_path / "state"))
+    state.run(feed_in("in", [record(str(d), (d,), (d, 1)) for d in range(1, 6)]))
+    stream = feed_in("in", [record("20", (20,), (20, 1))])
+    q = state.start(stream)[0]
+    q.awaitTermination()
+    held = [op["numRowsTotal"] for p in q.recentProgress for op in p["stateOperators"]]
+    assert held[-1] == 1  # the windows of the first days are gone
+    with pytest.raises(ValueError, match="allow more disorder"):
+        state.run(feed_in("in", [record("old", (1,), (1, 2))]))
 
 
 def test_watermarked_windows(spark, tmp_path):
@@ -266,12 +317,59 @@ def test_watermarked_windows(spark, tmp_path):
     assert rows(spark.table("windowed"), "k", "n", "total") == [("a", 2, 5), ("b", 1, 4)]
 
 
+def test_ledger_of_balances(spark):
+    state = spark.createDataFrame([("a", Decimal(10), datetime(2024, 1, 5, tzinfo=UTC), datetime(2024, 1, 5, tzinfo=UTC)), ("b", None, None, None), ("c", Decimal(1), None, None)], "account_id string, current_balance decimal(18,2), last_transaction_timestamp timestamp, updated_at timestamp")
+    t = datetime(2024, 1, 3, tzinfo=UTC)
+    events = spark.createDataFrame([("a", "DEBIT", Decimal(3), t), ("a", "CREDIT", Decimal(1), t), ("b", "FEE", Decimal(3), t), ("x", "FEE", Decimal(3), t)], "account_id string, transaction_type string, amount decimal(18,2), transaction_timestamp timestamp")
+    got = {r.account_id: (r.current_balance, r.last_transaction_timestamp and r.last_transaction_timestamp.astimezone(UTC).day, r.updated_at and r.updated_at.astimezone(UTC).day) for r in states.apply_balances(state, events, "2024-02-09 00:00:00").collect()}
+    assert got == {"a": (Decimal(8), 5, 9), "b": (None, 3, 9), "c": (Decimal(1), None, None)}
+
+
+def test_rank_keys(spark):
+    df = spark.createDataFrame([(k,) for k in ("b", "a", None, "c", "a")], "k string")
+    assert rows(ranks.rank_key(df, "k")) == [("a", 1), ("b", 2), ("c", 3)] and rows(ranks.rank_key(df.where("false"), "k")) == []
+
+
+def test_versions_without_rename(spark, tmp_path, monkeypatch):
+    """A writer that dies leaves the version before it in force, and nothing relies on renaming over a file."""
+    store = Store(spark, str(tmp_path / "s"))
+    store.overwrite(spark.range(3), "t")
+    torn = tmp_path / "s" / "t" / "_pointers" / "_v000000000002.json"
+    torn.write_text('{"version": 2, "sch')  # cut off in the middle
+    assert store.read("t").count() == 3 and store.pointer("t")["version"] == 1
+    store.overwrite(spark.range(5), "t")
+    assert store.read("t").count() == 5 and store.pointer("t")["version"] == 3
+    with pytest.raises(Exception, match="(?i)exists"):  # another writer took the number
+        store.versions("t/_pointers").publish({}, 3)
+
+
+def test_scratch_is_shared_and_deleted(spark, tmp_path, monkeypatch):
+    from lodestrom import scratch
+
+    with scratch.scope(spark):
+        made = scratch.materialise(spark.range(4), "x").inputFiles()[0].removeprefix("file://")
+        assert os.path.exists(made)
+    assert not os.path.exists(made)
+
+    class Cluster:
+        sparkContext = type("C", (), {"getConf": lambda self: {}, "master": "spark://host:7077"})()
+        conf = {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch.shared_dir(Cluster())
+
+
 # --- buckets
 def test_buckets_resume_after_a_failure(spark, tmp_path):
     store = Store(spark, str(tmp_path / "s"))
     df = spark.range(100).select((F.col("id") % 40).cast("string").alias("k"), "id")
     plan = buckets.preflight(1000, "fp", Settings(bucket_bytes=250))
     assert plan.buckets == 4 and plan.large and not buckets.preflight(10, "x", Settings()).large
+    assert (plan.tier, buckets.preflight(10, "x", Settings()).tier, buckets.preflight(10**9, "x", Settings(), "single").tier) == ("large", "medium", "single")
+    refused = buckets.preflight(10**12, "x", Settings(bucket_bytes=1 << 20))
+    assert not refused.safe and "exceed" in refused.refusal and refused.buckets > 256
+    with pytest.raises(ValueError, match="exceed"):
+        buckets.run(store, "bronze", "silver", refused, lambda p: p)
     buckets.ingest(df, "k", plan, store, "bronze")
     seen = []
 
@@ -282,12 +380,17 @@ def test_buckets_resume_after_a_failure(spark, tmp_path):
         return dedupe.keep_first(part, ["k"], [F.col("id")])
 
     with pytest.raises(RuntimeError, match="lost"):
-        buckets.run(store, "bronze", "silver", plan, transform)
+        buckets.run(store, "bronze", "silver", plan, transform, {0: 4.0, 1: 3.0, 2: 2.0, 3: 1.0})
     manifest = buckets.load_manifest(store, "silver", plan)
     assert sorted(manifest["buckets"].values()) == ["complete", "complete", "failed"] and buckets.schedule(4, manifest)[0] == 2
     done = buckets.run(store, "bronze", "silver", plan, lambda p: transform(p, fail=False))
     assert len(seen) == 5 and rows(done) == rows(dedupe.keep_first(df, ["k"], [F.col("id")]))
     assert buckets.total_rows(buckets.load_manifest(store, "silver", plan)) == 40
     assert buckets.load_manifest(store, "silver", buckets.Preflight(1, 4, "other"))["buckets"] == {}
+    shutil.rmtree(store.location("silver/bucket=3"))
+    assert buckets.load_manifest(store, "silver", plan)["buckets"]["3"] == "failed"  # complete, but its output is gone
+    redone = buckets.run(store, "bronze", "silver", plan, lambda p: transform(p, fail=False))
+    assert rows(redone) == rows(dedupe.keep_first(df, ["k"], [F.col("id")])) and len(seen) == 6
+    assert set(buckets.expected_work(store, "bronze", plan, buckets.load_manifest(store, "silver", plan))) == {0, 1, 2, 3}
     assert buckets.schedule(3, {"buckets": {"0": "complete"}}, {1: 1.0, 2: 5.0}) == [2, 1]
     assert buckets.distinct_over_buckets(df, "k", 4).first()[0] == 40
