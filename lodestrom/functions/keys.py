@@ -10,8 +10,7 @@ _MAX_LONG = 2**63 - 1
 
 def identifier(col: Column) -> Column:
     """Letters and digits only, lower case; null when nothing is left."""
-    plain = F.lower(F.regexp_replace(col.cast("string"), r"[^\p{L}\p{N}]", ""))
-    return F.when(plain != "", plain)
+    return F.nullif(F.lower(F.regexp_replace(col.cast("string"), r"[^\p{L}\p{N}]", "")), F.lit(""))
 
 
 def identity128(col: Column) -> tuple[Column, Column]:

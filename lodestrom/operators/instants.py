@@ -67,8 +67,11 @@ class StampDictionary:
         return self.table()
 
 
-def _local(micros: Column, zone: Column) -> Column:
-    return F.to_utc_timestamp(F.timestamp_micros(micros), zone)
+def _local(micros: Column, zone: Column | None, default: str) -> Column:
+    """Local time to an instant; the default zone is a literal, whose rules are looked up once and not for every row."""
+    at = F.timestamp_micros(micros)
+    usual = F.to_utc_timestamp(at, default)
+    return usual if zone is None else F.when(zone.isNull(), usual).otherwise(F.to_utc_timestamp(at, zone))
 
 
 def _lookup(dictionary: DataFrame, source: str, zone: str, role: str, name: str) -> DataFrame:
@@ -95,19 +98,21 @@ def normalise_instants(df: DataFrame, date_col: str, time_col: str | None = None
         rows = skew_safe_join(rows, times, "_t_text", "left")
     else:
         rows = rows.withColumn("_t", F.lit(None).cast(times.schema["_t"].dataType))
-    d, t, default = F.col("_d"), F.col("_t"), F.lit(zone)
+    d, t = F.col("_d"), F.col("_t")
     midnight = d["day"] * F.lit(DAY)
     safe = lambda c: F.when(c.between(_FIRST, _LAST), c)
-    with_time = F.when(t["offset"].isNotNull(), F.timestamp_micros(safe(midnight + t["micros"] - t["offset"] * 1_000_000))).otherwise(_local(safe(midnight + t["micros"]), F.coalesce(t["zone"], default)))
+    with_time = F.when(t["offset"].isNotNull(), F.timestamp_micros(safe(midnight + t["micros"] - t["offset"] * 1_000_000))).otherwise(_local(safe(midnight + t["micros"]), t["zone"], zone))
     instant = (
         F.when(d["kind"] == "instant", F.timestamp_micros(safe(d["micros"])))
-        .when(d["kind"] == "local", _local(safe(midnight + d["micros"]), F.coalesce(d["zone"], default)))
-        .when((d["kind"] == "date") & is_blank(F.col("_t_text")), _local(safe(midnight), default))
+        .when(d["kind"] == "local", _local(safe(midnight + d["micros"]), d["zone"], zone))
+        .when((d["kind"] == "date") & is_blank(F.col("_t_text")), _local(safe(midnight), None, zone))
         .when((d["kind"] == "date") & (t["kind"] == "time"), with_time)
     )
     day = F.when(d["kind"].isin("date", "local") & (F.lit(time_col is None)), F.when(d["zone"].isNull(), F.date_add(F.lit("1970-01-01").cast("date"), d["day"].cast("int"))))
     local_day = F.coalesce(day, F.to_date(F.from_utc_timestamp(F.col(out), zone)))
-    return rows.withColumn(out, instant).withColumn(f"{out}_date", local_day).drop("_d_text", "_t_text", "_d", "_t")
+    # as a generated column the instant is computed once a row, whatever later steps filter or derive by it
+    placed = rows.select("*", F.inline(F.array(F.struct(instant.alias(out)))))
+    return placed.withColumn(f"{out}_date", local_day).drop("_d_text", "_t_text", "_d", "_t")
 
 
 #: Texts that are already in the normal form.
