@@ -126,7 +126,8 @@ def parse_lines(lines: DataFrame, line_id: str = "line_id", file_name: str = "fi
     rest = marked.where(~F.col("plain")).select("line_id", "fmt", "text")
     for df, good in ((of_csv, csv_good), (of_json, json_good)):
         rest = rest.unionByName(df.where(~good).select("line_id", "fmt", "text"))
-    return free[0].unionByName(free[1]).unionByName(rest.repartition("line_id").mapInPandas(parsed, PARSED))
+    tasks = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few bytes, much work: not to be coalesced
+    return free[0].unionByName(free[1]).unionByName(rest.repartition(tasks, "line_id").mapInPandas(parsed, PARSED))
 
 
 def value_fault(main: Column, limit: Column | None = None) -> Column:
