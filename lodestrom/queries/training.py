@@ -12,6 +12,7 @@ from lodestrom.functions.amounts import amount
 from lodestrom.functions.coordinates import letters_only, with_points
 from lodestrom.functions.keys import identifier
 from lodestrom.operators import delivery, instants, lateness, lines, proximity, references, rolling
+from lodestrom.queries import statements
 from lodestrom.operators.joins import broadcast_if_small, skew_safe_join
 from lodestrom.streaming import corrections
 
@@ -220,6 +221,10 @@ _IN_JSON = {c: f"(o ->> '$.{c}')" for c in _TRANSACTION} | {c: f"(o ->> '$.{p}.{
 _IN_TABLE = {c: c for c in _TRANSACTION} | {c: f"{p}.{c}" for c, p in lines.NESTED_COLUMNS.items()} | {"retry_flag": "metadata.retry_flag"}
 
 ORACLES: dict[str, str] = {
+    "p1_found": statements.P1,
+    "p2_found": statements.P2,
+    "p2_totals": statements.P2_TOTALS,
+    "p7_found": statements.P7,
     "p4_found": f"""WITH {_P4_LINES}
 SELECT 'raw_lines' AS src_table, line_id AS row_id, fault FROM cj WHERE fault IS NOT NULL UNION ALL SELECT 'raw_lines', line_id, fault FROM jj WHERE fault IS NOT NULL
 UNION ALL SELECT 'transactions', row_id, {_fault('amount')} AS fault FROM transactions WHERE fault IS NOT NULL
