@@ -46,17 +46,18 @@ def mark_first(df: DataFrame, key: str, order: list[Column], out: str = "_first"
     ``total`` says that the order settles every tie (it ends in a unique column).
     """
     columns = df.columns
-    hot = hot_keys(df.select(key), key, share, floor).withColumn("_hot", F.lit(True))
-    placed = _total_order(order, total)
-    rows = df.withColumn("_order", placed).join(F.broadcast(hot), key, "left")  # at most 1/share keys
-    # equal rows share a salt, so that only one of them can be first
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64("_order"), F.lit(SALTS))).otherwise(0)
-    local = F.row_number().over(Window.partitionBy(key, "_salt").orderBy("_order"))
-    ranked = rows.withColumn("_salt", salt).withColumn("_rn", local)
-    of_hot = df.join(F.broadcast(hot.drop("_hot")), key, "left_semi").withColumn("_order", placed).groupBy(key).agg(F.min("_order").alias("_least"))
-    told = ranked.join(F.broadcast(of_hot), key, "left")
-    first = (F.col("_rn") == 1) & F.coalesce(F.col("_order") == F.col("_least"), F.lit(True))
-    return told.select(*columns, F.when(F.col(key).isNotNull(), first).alias(out))
+    hot = hot_keys(df.select(key), key, share, floor)
+    rows = df.withColumn("_order", _total_order(order, total))
+    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False)) if hot else F.lit(False)
+    # equal rows share a salt, so that only one of them can be first; rows without a key are spread, none of them is ranked
+    salt = F.when(is_hot | F.col(key).isNull(), F.pmod(F.xxhash64("_order"), F.lit(SALTS))).otherwise(0)
+    ranked = rows.withColumn("_salt", salt).withColumn("_rn", F.row_number().over(Window.partitionBy(key, "_salt").orderBy("_order")))
+    first = F.col("_rn") == 1
+    if hot:
+        least = rows.where(is_hot).groupBy(key).agg(F.min("_order").alias("_least"))
+        ranked = ranked.join(F.broadcast(least), key, "left")  # at most 1/share keys
+        first = first & F.coalesce(F.col("_order") == F.col("_least"), F.lit(True))
+    return ranked.select(*columns, F.when(F.col(key).isNotNull(), first).alias(out))
 
 
 def surplus_rows(df: DataFrame, key: str, order: list[Column], **hot: float) -> DataFrame:

@@ -47,14 +47,16 @@ def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
     return F.broadcast(df) if measured_bytes(df) <= (BROADCAST_BYTES if limit is None else limit) else df
 
 
-def hot_keys(df: DataFrame, key: str, share: float = 0.01, floor: int = 100_000) -> DataFrame:
-    """Keys with more than ``max(floor, share of all rows)`` rows; at most ``1/share`` keys, whatever the data.
-
-    Null is no key. Counting is a partial aggregation, so a key with a third of all rows moves as one row a task.
+def hot_keys(df: DataFrame, key: str, share: float = 0.01, floor: int = 100_000) -> list:
+    """Keys with more than ``max(floor, share of all rows)`` rows, by a sketch of frequent items: one map-side combined
+    aggregate, without a shuffle of the keys. At most ``1/share`` keys can be hot; the sketch tracks a hundred times as many,
+    so it misses none and may add some that are nearly hot. Null is no key.
     """
-    sizes = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = df.agg(F.count(F.lit(1)).alias("_total"))
-    return sizes.join(F.broadcast(total), F.col("_n") > F.greatest(F.col("_total") * share, F.lit(floor))).select(key)
+    most = round(1 / share)
+    sketch = F.expr(f"approx_top_k(`{key}`, {2 * most}, {min(1_000_000, max(10_000, 100 * most))})")
+    found = df.where(F.col(key).isNotNull()).agg(F.count(F.lit(1)).alias("n"), sketch.alias("top")).first()
+    least = max(floor, share * found["n"])
+    return [] if found["n"] <= floor else [r["item"] for r in found["top"] or [] if r["count"] > least]
 
 
 def skew_safe_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", share: float = 0.01, floor: int = 100_000) -> DataFrame:
@@ -67,7 +69,7 @@ def skew_safe_join(left: DataFrame, right: DataFrame, key: str, how: str = "inne
     if measured_bytes(right) <= BROADCAST_BYTES:
         return left.join(F.broadcast(right), key, how)
     left = scratch.materialise(left, "join-left")
-    hot = [r[0] for r in hot_keys(left, key, share, floor).collect()]  # at most 1/share keys
+    hot = hot_keys(left, key, share, floor)
     if not hot:
         return left.join(right, key, how)
     is_hot: Column = F.coalesce(F.col(key).isin(hot), F.lit(False))

@@ -4,7 +4,7 @@
 only, the crossings of its ray to the east are counted per point and region, and an odd count means inside. A strip
 keeps the edges of one region together, so the join yields one row per point and region with all the edges its ray can
 meet, and the grouped count needs no shuffle. A point on an edge or corner is handled explicitly: it belongs to the
-region. Edges are straight in degrees; a crossing is counted half-open in latitude, so a corner counts once.
+region, and it is on an edge within ``TOUCH_DEG``, so that rounding does not decide on slanted edges. Edges are straight in degrees; a crossing is counted half-open in latitude, so a corner counts once.
 
 *Points*: each centre covers the grid cells its radius touches, at a level of the grid that suits its radius; each
 point looks up its own cell at each level in use. Distances are then checked on the sphere.
@@ -30,6 +30,8 @@ from lodestrom.functions.coordinates import EARTH_M, sphere_distance
 from lodestrom.operators.joins import broadcast_if_small
 
 STRIP_DEG = 0.05
+#: Edges of one region in one strip beyond which narrower strips are tried; points this near to an edge are on it (0.1 mm).
+STRIP_EDGES, TOUCH_DEG = 512, 1e-9
 BASE_RADIUS_M, LEVEL_FACTOR, BASE_CELL_DEG = 2_000.0, 8, 0.04
 
 
@@ -44,7 +46,22 @@ def region_strips(regions: DataFrame, height: float = STRIP_DEG) -> DataFrame:
     edge = corner.select("place_id", F.struct(F.col("e.a.lat").alias("y1"), F.col("e.a.lon").alias("x1"), F.col("e.b.lat").alias("y2"), F.col("e.b.lon").alias("x2")).alias("e"))
     edge = edge.where("(e.y1 <> e.y2 or e.x1 <> e.x2) and not isnan(e.y1 + e.x1 + e.y2 + e.x2)")
     low, high = _strip(F.least("e.y1", "e.y2"), height), _strip(F.greatest("e.y1", "e.y2"), height)
-    return edge.withColumn("strip", F.explode(F.sequence(low, high))).groupBy("strip", "place_id").agg(F.collect_list("e").alias("edges"))
+    in_strips = edge.withColumn("strip", F.explode(F.sequence(low, high)))
+    return in_strips.groupBy("strip", "place_id").agg(F.collect_list("e").alias("edges"), F.min(F.least("e.x1", "e.x2")).alias("_west"), F.max(F.greatest("e.x1", "e.x2")).alias("_east"))
+
+
+def fitting_strips(regions: DataFrame, height: float = STRIP_DEG) -> tuple[DataFrame, float]:
+    """The strips of ``regions`` (written) and their height, which is halved as long as the most detailed border has more
+    than ``STRIP_EDGES`` edges in one strip and narrower strips still help."""
+    strips = scratch.materialise(region_strips(regions, height), "region-strips")
+    most = strips.agg(F.coalesce(F.max(F.size("edges")), F.lit(0)).alias("n")).first()["n"]
+    while most > STRIP_EDGES:
+        finer = scratch.materialise(region_strips(regions, height / 2), "region-strips")
+        fewer = finer.agg(F.max(F.size("edges")).alias("n")).first()["n"]
+        if fewer > 0.8 * most:
+            break
+        strips, most, height = finer, fewer, height / 2
+    return strips, height
 
 
 def _crosses(e: Column, lat: Column, lon: Column) -> Column:
@@ -53,8 +70,10 @@ def _crosses(e: Column, lat: Column, lon: Column) -> Column:
 
 
 def _touches(e: Column, lat: Column, lon: Column) -> Column:
-    within = lat.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"])) & lon.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
-    return within & ((lon - e["x1"]) * (e["y2"] - e["y1"]) == (lat - e["y1"]) * (e["x2"] - e["x1"]))
+    dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
+    near = lambda v, a, b: v.between(F.least(a, b) - TOUCH_DEG, F.greatest(a, b) + TOUCH_DEG)
+    beside = F.abs((lon - e["x1"]) * dy - (lat - e["y1"]) * dx)
+    return near(lat, e["y1"], e["y2"]) & near(lon, e["x1"], e["x2"]) & (beside <= F.lit(TOUCH_DEG) * F.sqrt(dx * dx + dy * dy))
 
 
 def _packed(points: DataFrame) -> DataFrame:
@@ -64,10 +83,12 @@ def _packed(points: DataFrame) -> DataFrame:
 
 def points_in_regions(points: DataFrame, regions: DataFrame, height: float = STRIP_DEG) -> DataFrame:
     """The columns of ``points`` (with ``lat, lon``) and ``place_id`` of each region that contains the point."""
-    strips = scratch.materialise(region_strips(regions, height), "region-strips")
+    strips, height = fitting_strips(regions, height)
     side = broadcast_if_small(strips)
-    met = _packed(points).withColumn("strip", _strip(F.col("lat"), height)).join(side, "strip")
     lat, lon = F.col("lat"), F.col("lon")
+    met = _packed(points).withColumn("strip", _strip(F.col("lat"), height)).join(side, "strip")
+    # within a strip a region lies between the ends of its edges: no ray from elsewhere needs to be followed
+    met = met.where(lon.between(F.col("_west") - TOUCH_DEG, F.col("_east") + TOUCH_DEG))
     crossings = F.size(F.filter("edges", lambda e: F.coalesce(_crosses(e, lat, lon), F.lit(False))))
     on_edge = F.exists("edges", lambda e: _touches(e, lat, lon))
     return met.where((crossings % 2 == 1) | on_edge).select("_point.*", "place_id")

@@ -5,7 +5,7 @@ it are verified, by an exact join with the parents' periods of life; the finding
 
 The filter is blocked: a key sets ``PROBES`` bits within one block of 64 words, so it is built by a distributed
 aggregation, probed with JVM bit operations, and has one small row per block. Its size is known before it is broadcast;
-beyond ``joins.BROADCAST_BYTES`` the blocks are joined by shuffle.
+beyond ``joins.BROADCAST_BYTES`` it is broadcast in parts of that size.
 
 Defined results
 ---------------
@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 
 from lodestrom import scratch
 from lodestrom.functions.keys import identifier
-from lodestrom.operators.joins import broadcast_if_small, skew_safe_join
+from lodestrom.operators import joins
+from lodestrom.operators.joins import skew_safe_join
 
 WORDS, BITS_PER_KEY, PROBES = 64, 12, 4
 #: Parents with more separate periods of life than this are matched by (key, month) rather than by an array of periods.
@@ -51,33 +52,41 @@ def build_bloom(keys: DataFrame, key: str, rows: int) -> tuple[DataFrame, int]:
 
 
 def probe_bloom(refs: DataFrame, key: str, bloom: DataFrame, blocks: int) -> DataFrame:
-    """``refs`` with ``maybe``: false proves that no parent bears the key."""
-    side = broadcast_if_small(bloom.withColumnRenamed("block", "_block"))
-    probed = refs.withColumn("_block", _block(F.col(key), blocks)).join(side, "_block", "left")
-    bit = "(shiftright(words[shiftright(_p[{0}], 6)], _p[{0}] & 63) & 1L) = 1"
+    """``refs`` with ``maybe``: false proves that no parent bears the key.
+
+    A filter beyond the limit of one broadcast is broadcast in several parts, so that the references, whatever key most of
+    them bear, are never moved by their block.
+    """
+    bit = "(shiftright(_words[shiftright(_p[{0}], 6)], _p[{0}] & 63) & 1L) = 1"
     found = F.expr(" and ".join(bit.format(i) for i in range(PROBES)))
-    return probed.withColumn("_p", F.array(*_positions(F.col(key)))).withColumn("maybe", F.coalesce(found, F.lit(False))).drop("_block", "_p", "words")
+    per = max(1, joins.BROADCAST_BYTES // (WORDS * 8 + 64))
+    probed = refs.withColumns({"_block": _block(F.col(key), blocks), "_p": F.array(*_positions(F.col(key))), "maybe": F.lit(False)})
+    for first in range(0, blocks, per):
+        part = bloom.where(F.col("block").between(first, first + per - 1)).select(F.col("block").alias("_block"), F.col("words").alias("_words"))
+        probed = probed.join(F.broadcast(part), "_block", "left").withColumn("maybe", F.col("maybe") | F.coalesce(found, F.lit(False))).drop("_words")
+    return probed.drop("_block", "_p")
 
 
-def life_periods(parents: DataFrame, key: str, loaded: str, removed: str) -> tuple[DataFrame, DataFrame]:
-    """The distinct parent rows ``key, a, b``, and their lives merged to disjoint periods ``key, a, b`` (b never null)."""
+def parent_lives(parents: DataFrame, key: str, loaded: str, removed: str) -> DataFrame:
+    """``key, part, first, a, b, n``: the distinct parents' lives merged to disjoint periods (``b`` never null, both null for
+    a parent that never lives), the earliest loading, and how many parts the key has. Two shuffles: distinct rows, then keys."""
     rows = parents.select(identifier(F.col(key)).alias("key"), F.col(loaded).alias("a"), F.col(removed).alias("b")).where("key is not null").distinct()
     far = F.lit("9999-12-31").cast("timestamp")
     order = Window.partitionBy("key").orderBy(F.col("a").asc_nulls_last(), F.col("b").asc_nulls_last())
-    reach = F.max(F.coalesce("b", far)).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    starts = rows.where("a is not null and (b is null or b > a)").withColumn("_new", F.coalesce(F.col("a") > reach, F.lit(True)).cast("int"))
-    merged = starts.withColumn("_g", F.sum("_new").over(order)).groupBy("key", "_g").agg(F.min("a").alias("a"), F.max(F.coalesce("b", far)).alias("b"))
-    return rows, merged.drop("_g")
+    until = F.when(F.col("a").isNotNull() & (F.col("b").isNull() | (F.col("b") > F.col("a"))), F.coalesce("b", far))
+    rows = rows.withColumn("until", until)
+    reach = F.max("until").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    starts = F.col("until").isNotNull() & F.coalesce(F.col("a") > reach, F.lit(True))
+    parts = rows.withColumn("_new", starts.cast("int")).withColumn("part", F.sum("_new").over(order))
+    merged = parts.groupBy("key", "part").agg(F.min("a").alias("first"), F.min(F.when(F.col("until").isNotNull(), F.col("a"))).alias("a"), F.max("until").alias("b"))
+    return merged.withColumn("n", F.count("b").over(Window.partitionBy("key")))
 
 
 def find_orphans(refs: DataFrame, parents: DataFrame, ref_key: str, at: str, row_key: str, parent_key: str, loaded: str = "loaded_at", removed: str = "removed_at") -> DataFrame:
     """``row_id, at, orphan_type`` of the rows of ``refs`` whose reference finds no live parent at ``at``."""
-    rows, merged = life_periods(parents, parent_key, loaded, removed)
-    first = rows.groupBy("key").agg(F.min("a").alias("first_loaded"))
-    counts = merged.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    many = counts.where(F.col("n") > MANY_PERIODS).select("key")
-    few = merged.join(counts, "key").where(F.col("n") <= MANY_PERIODS).groupBy("key").agg(F.collect_list(F.struct("a", "b")).alias("periods"))
-    known = scratch.materialise(first.join(few, "key", "left").join(many.withColumn("many", F.lit(True)), "key", "left"), "parent-lives")
+    lives = parent_lives(parents, parent_key, loaded, removed)
+    few = F.collect_list(F.when(F.col("b").isNotNull() & (F.col("n") <= MANY_PERIODS), F.struct("a", "b")))
+    known = scratch.materialise(lives.groupBy("key").agg(F.min("first").alias("first_loaded"), few.alias("periods"), F.max(F.when(F.col("n") > MANY_PERIODS, True)).alias("many")), "parent-lives")
     n = known.count()
     bloom, blocks = build_bloom(known, "key", n)
     given = refs.select(identifier(F.col(ref_key)).alias("key"), F.col(at).alias("at"), F.col(row_key).alias("row_id")).where("key is not null")
@@ -92,7 +101,7 @@ def find_orphans(refs: DataFrame, parents: DataFrame, ref_key: str, at: str, row
     if known.where("many").limit(1).count():
         month = lambda c: F.months_between(F.trunc(c, "month"), F.lit("1970-01-01").cast("date")).cast("int")
         latest = refs.agg(F.max(at).alias("m"))
-        spans = merged.join(many, "key").join(F.broadcast(latest), F.col("a") <= F.col("m"))  # one row of one value
+        spans = lives.where((F.col("n") > MANY_PERIODS) & F.col("b").isNotNull()).join(F.broadcast(latest), F.col("a") <= F.col("m"))  # one row of one value
         spans = spans.select("key", "a", "b", F.explode(F.sequence(month(F.col("a")), month(F.least("b", "m")))).alias("mon"))
         left = judged.where("many").withColumn("mon", month(F.col("at")))
         gone = left.join(spans.withColumnRenamed("key", "k2").withColumnRenamed("mon", "m2"), (F.col("key") == F.col("k2")) & (F.col("mon") == F.col("m2")) & (F.col("a") <= F.col("at")) & (F.col("at") < F.col("b")), "left_anti")

@@ -39,7 +39,8 @@ def test_skew_safe_join_equals_join(spark, tiny_limits, how):
 
 def test_hot_keys_are_few_and_never_null(spark):
     df = spark.createDataFrame([("a",)] * 60 + [(None,)] * 30 + [("b",)] * 10, "k string")
-    assert rows(joins.hot_keys(df, "k", 0.5, 1)) == [("a",)]
+    assert joins.hot_keys(df, "k", 0.5, 1) == ["a"] and joins.hot_keys(df, "k", 0.5) == []
+    assert joins.hot_keys(df.where("k is null"), "k", 0.5, 1) == []
 
 
 # --- 1: places
@@ -78,6 +79,20 @@ def test_regions_beyond_the_broadcast_limit(spark, monkeypatch):
     assert rows(proximity.points_in_regions(at, area), "point_id") == [("in",)]
 
 
+def test_slanted_edges_and_detailed_borders(spark, monkeypatch):
+    slanted = regions(spark, ("slanted", [(0.1, 0.1), (0.7, 2.2), (3.1, 0.3)]))
+    on = [(0.1 + 0.6 * k / 7, 0.1 + 2.1 * k / 7) for k in range(8)]
+    at = points(spark, *[(f"on{i}", y, x) for i, (y, x) in enumerate(on)], *[(f"off{i}", y - 1e-6, x + 1e-6) for i, (y, x) in enumerate(on)])
+    assert {p for p, in rows(proximity.points_in_regions(at, slanted), "point_id")} == {f"on{i}" for i in range(8)}
+    monkeypatch.setattr(proximity, "STRIP_EDGES", 3)
+    assert {p for p, in rows(proximity.points_in_regions(at, slanted), "point_id")} == {f"on{i}" for i in range(8)}
+    fine = regions(spark, ("fine", [(k / 500, 1.0 + (k % 2) / 1000) for k in range(500)] + [(1.0, 0.0), (0.0, 0.0)]))
+    strips, height = proximity.fitting_strips(fine)
+    assert height < proximity.STRIP_DEG and strips.agg(F.max(F.size("edges"))).first()[0] <= 6
+    inside = rows(proximity.points_in_regions(points(spark, ("in", 0.5, 0.5), ("out", 0.5, 1.5), ("west", 0.5, -0.5)), fine), "point_id")
+    assert inside == [("in",)]
+
+
 def test_near_points_at_all_radii(spark):
     centres = spark.createDataFrame([("tiny", -30.0, 25.0, 0.0), ("near", -30.0, 25.0, 1500.0), ("wide", -29.0, 25.0, 200_000.0), ("bad", -30.0, 25.0, float("nan")), ("none", None, 25.0, 5.0), ("near", -30.0, 25.0, 1500.0)], "place_id string, c_lat double, c_lon double, radius_m double")
     at = points(spark, ("same", -30.0, 25.0), ("1km", -30.0089, 25.0), ("2km", -30.018, 25.0), ("100km", -30.0, 26.0), ("far", -35.0, 25.0))
