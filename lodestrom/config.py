@@ -70,6 +70,7 @@ class Settings:
     repeat_pattern: int = 50
     high_cardinality: int = 50
     high_cardinality_ratio: float = 0.25
+    domain_thresholds: dict[str, int] = field(default_factory=dict)
     recent_kept: int = 50
     bucket_bytes: int = 256 << 20
     most_buckets: int = 256

@@ -64,7 +64,10 @@ def domain_metrics(df: DataFrame, table: str, settings: Settings, exact: bool =
 def drift(metrics: DataFrame, settings: Settings) -> DataFrame:
     """``metrics`` with ``high_cardinality`` and whether a review of unknown values is suggested."""
     # fixed rule: so many unknown values, or at least three that make up so large a share of all values
-    many = (F.col("unknown_distinct") >= settings.high_cardinality) | ((F.col("unknown_distinct") >= 3) & (F.try_divide("unknown_distinct", "distinct") >= settings.high_cardinality_ratio))
+    threshold = F.lit(settings.high_cardinality)
+    for name, own in settings.domain_thresholds.items():  # a domain's own threshold
+        threshold = F.when(F.col("field") == name, own).otherwise(threshold)
+    many = (F.col("unknown_distinct") >= threshold) | ((F.col("unknown_distinct") >= 3) & (F.try_divide("unknown_distinct", "distinct") >= settings.high_cardinality_ratio))
     marked = metrics.withColumn("high_cardinality", F.coalesce(many, F.lit(False)))
     return marked.withColumn("review", (F.col("unknown") > 0) & ~F.col("high_cardinality"))
 

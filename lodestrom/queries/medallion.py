@@ -451,6 +451,19 @@ def quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.quantiles(table(spark, sf_dir, "orders"), F.col("o_totalprice"), SETTINGS.percentile_accuracy)
 
 
+def _quantiles(name: str, value: str, source: str) -> str:
+    return " UNION ALL ".join(f"SELECT '{name}' AS field, CAST({p} AS DOUBLE) AS point, CAST(quantile_disc(v, {p}) AS DOUBLE) AS value FROM (SELECT {value} AS v FROM {source})" for p in (0.5, 0.95, 0.99))
+
+
+@query("AGG13 PRF2 PRF3 PRF4", " UNION ALL ".join([_quantiles("amount", _amount("amount"), "transactions"), _quantiles("current_balance", _amount("current_balance"), "accounts"), _quantiles("risk_score", "TRY_CAST(trim(risk_score) AS INT)", "customers")]))
+def profile_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quantiles of the feed's own numbers, by a mergeable sketch."""
+    c, a, t = _tables(spark, sf_dir)
+    parts = {"amount": (t, readable_amount(F.col("amount"))), "current_balance": (a, readable_amount(F.col("current_balance"))), "risk_score": (c, F.trim("risk_score").try_cast("int"))}
+    found = [profile.quantiles(df, v, SETTINGS.percentile_accuracy).select(F.lit(k).alias("field"), F.col("point").cast("double").alias("point"), F.col("value").cast("double").alias("value")) for k, (df, v) in parts.items()]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 _TOP = "SELECT field, value, n, rank FROM (SELECT *, row_number() OVER (PARTITION BY field ORDER BY n DESC, value NULLS FIRST) AS rank FROM (SELECT field, value, count(*) AS n FROM ({0}) GROUP BY 1, 2)) WHERE rank <= 5"
 
 
@@ -459,6 +472,16 @@ def top_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frequency.top_values(table(spark, sf_dir, "transactions"), {"transaction_type": F.col("transaction_type"), "channel": F.col("channel"), "currency": F.col("currency"), "province": F.col("location.province")}, SETTINGS.top_k)
 
 
+_KINDS = {"customers": ("gender", "province", "segment", "kyc_status"), "accounts": ("account_type", "account_status", "product_tier", "digital_channel")}
+
+
+@query("AGG15 PRF3 PRF4 SRT2", " UNION ALL ".join("SELECT * FROM (" + _TOP.format(" UNION ALL ".join(f"SELECT '{t}.{c}' AS field, {c} AS value FROM {t}" for c in cs)) + ")" for t, cs in _KINDS.items()))
+def top_values_of_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The most frequent values of the closed columns of customers and accounts."""
+    found = [frequency.top_values(table(spark, sf_dir, t), {f"{t}.{c}": F.col(c) for c in cs}, SETTINGS.top_k) for t, cs in _KINDS.items()]
+    return found[0].unionByName(found[1])
+
+
 _T_DOMAINS = {c: (v, DOMAINS[f"transactions.{c}"]) for c, v in (("transaction_type", "transaction_type"), ("channel", "channel"), ("currency", _clean("currency")), ("province", "location.province"))}
 
 
@@ -503,10 +526,11 @@ def domain_drift_light(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found[0].unionByName(found[1]).unionByName(found[2])
 
 
-@query("DRF1 DRF2 DRF3 DRF5", f"""WITH top AS ({ORACLES['top_unknown']}), m AS ({_DRIFT}), ok AS (SELECT field FROM m WHERE unknown > 0 AND NOT coalesce(unknown_distinct >= 50 OR (unknown_distinct >= 3 AND unknown_distinct / distinct_ >= 0.25), false))
+@query("DRF1 DRF2 DRF3 DRF5", f"""WITH top AS ({ORACLES['top_unknown']}), m AS ({_DRIFT}), ok AS (SELECT field FROM m WHERE unknown > 0 AND NOT coalesce(unknown_distinct >= CASE field WHEN 'transactions.province' THEN 2 ELSE 50 END OR (unknown_distinct >= 3 AND unknown_distinct / distinct_ >= 0.95), false))
 SELECT 'transactions.' || top.field AS field, value, n, 'review ' || chr(39) || value || chr(39) || ' as a value of transactions.' || top.field || ' (' || n || ' rows)' AS suggestion FROM top JOIN ok ON ok.field = 'transactions.' || top.field""")
 def rule_suggestions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return frequency.suggestions(table(spark, sf_dir, "transactions"), "transactions", SETTINGS)
+    """Values to review where a lenient ratio and a strict threshold of one domain are configured."""
+    return frequency.suggestions(table(spark, sf_dir, "transactions"), "transactions", Settings(high_cardinality_ratio=0.95, domain_thresholds={"transactions.province": 2}))
 
 
 @query("AGG16", "SELECT count(*) FILTER (WHERE n >= 50) AS groups_at_threshold, max(n) AS largest_group FROM (SELECT " + _id("account_id") + " AS k, transaction_type, channel, count(*) AS n FROM transactions GROUP BY 1, 2, 3)")
@@ -528,13 +552,41 @@ def profile_cross(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found[0].unionByName(found[1]).unionByName(found[2])
 
 
+_AUDIT = " UNION ALL ".join(f"SELECT '{t}' AS table_name, metric, n FROM ({ORACLES[f'profile_{t}']})" for t in ("customers", "accounts", "transactions"))
+
+
+@query("PRF6 PRF7 SNK7", _AUDIT)
+def audit_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The full audit of a store's bronze tables, written as a document and read back: its metrics."""
+    store = Store(spark, scratch.new_path(spark, "audited"))
+    for name, df in zip(("customers", "accounts", "transactions"), _tables(spark, sf_dir), strict=True):
+        store.overwrite(df, f"bronze/{name}")
+    store.write_text(f"{store.root}/audit.json", quality.to_json(runner.audit(store, Settings(profile_mode="full"))))
+    metrics = spark.read.option("multiLine", True).json(f"{store.root}/audit.json").select("metrics.*")
+    each = [F.struct(F.lit(t).alias("table_name"), F.lit(f.name).alias("metric"), F.col(f"{t}.{f.name}").alias("n")) for t in metrics.columns for f in metrics.schema[t].dataType.fields]
+    return metrics.select(F.explode(F.array(*each)).alias("e")).select("e.*")
+
+
+_TAKEN = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in SETTINGS.actions.items())
+
+
+@query("DQ2 SNK6 AGG18", f"SELECT issue AS issue_type, affected AS records_affected, pct AS percentage_of_total, output AS records_in_output, CASE issue {_TAKEN} END AS handling_action FROM ({ORACLES['dq_issues']}) WHERE affected > 0")
+def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The issues of the quality report, with their handling actions, as the written document states them."""
+    issues = [r.asDict() for r in dq_issues(spark, sf_dir).collect()]  # one row an issue
+    store = Store(spark, scratch.new_path(spark, "reported"))
+    store.write_text(f"{store.root}/dq_report.json", quality.to_json(quality.report(issues, SETTINGS, {})))
+    listed = spark.read.option("multiLine", True).json(f"{store.root}/dq_report.json").select(F.explode("dq_issues").alias("i"))
+    return listed.select("i.issue_type", "i.records_affected", "i.percentage_of_total", "i.records_in_output", "i.handling_action")
+
+
 # --- states, streaming, buckets, storage
 _ONCE = "SELECT DISTINCT ON (account_id, transaction_id) account_id, transaction_id, transaction_timestamp, amount, transaction_type FROM recent_transactions WHERE transaction_id IS NOT NULL AND account_id IS NOT NULL AND transaction_timestamp IS NOT NULL AND amount IS NOT NULL AND transaction_type IN ('DEBIT', 'CREDIT', 'FEE', 'REVERSAL') ORDER BY account_id, transaction_id, transaction_timestamp DESC"
 _BALANCE = f"""WITH e AS ({_ONCE}), d AS (SELECT account_id, sum(CASE WHEN transaction_type IN ('CREDIT', 'REVERSAL') THEN amount ELSE -amount END) AS delta, max(transaction_timestamp) AS latest FROM e GROUP BY 1)
-SELECT {_id("b.account_id")} AS account_id, CAST(b.current_balance + coalesce(d.delta, 0) AS DECIMAL(18,2)) AS current_balance, greatest(TIMESTAMPTZ '1970-01-01 00:00:00+00', d.latest) AS last_transaction_timestamp FROM current_balances b LEFT JOIN d USING (account_id)"""
+SELECT b.account_id, CAST(b.current_balance + coalesce(d.delta, 0) AS DECIMAL(18,2)) AS current_balance, greatest(TIMESTAMPTZ '1970-01-01 00:00:00+00', d.latest) AS last_transaction_timestamp FROM current_balances b LEFT JOIN d USING (account_id)"""
 
 
-@query("AGG14 J11 J10 FLT10 STR3", _BALANCE)
+@query("AGG14 J11 FLT10 STR3", _BALANCE)
 def running_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = states.once_per_transaction(states.admit(table(spark, sf_dir, "recent_transactions")).select(*states.EVENT_COLUMNS))
     state = states.seed_balances(table(spark, sf_dir, "current_balances"))
