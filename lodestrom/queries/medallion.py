@@ -358,7 +358,7 @@ def _validation(name: str) -> Query:
     return run
 
 
-query("AGG23 SET4 Q0", f"WITH {_SILVER} SELECT 'dim_accounts' AS table_name, count(*) AS n FROM sa UNION ALL SELECT 'dim_customers', count(*) FROM sc UNION ALL SELECT 'fact_transactions', count(*) FROM ft")(_validation("row_counts"))
+query("AGG23 SET4 SRC9 Q0", f"WITH {_SILVER} SELECT 'dim_accounts' AS table_name, count(*) AS n FROM sa UNION ALL SELECT 'dim_customers', count(*) FROM sc UNION ALL SELECT 'fact_transactions', count(*) FROM ft")(_validation("row_counts"))
 query("AGG21 WIN8 SRT1 Q1", f"WITH {_SILVER} SELECT transaction_type, count(*) AS n, sum(amount) AS total, CAST(round(count(*) * 100.0 / sum(count(*)) OVER (), 2) AS DOUBLE) AS pct FROM ft GROUP BY 1")(_validation("volume_by_type"))
 query("J12 Q2", f"WITH {_SILVER} SELECT count(*) AS n FROM sa LEFT JOIN sc ON sa.customer_ref = sc.customer_id WHERE sc.customer_id IS NULL")(_validation("unlinked_accounts"))
 query("J13 AGG22 SRT1 Q3", f"WITH {_SILVER} SELECT sc.province, count(DISTINCT account_id) AS n FROM sa JOIN sc ON sa.customer_ref = sc.customer_id GROUP BY 1")(_validation("accounts_per_province"))
@@ -570,7 +570,7 @@ def audit_document(spark: SparkSession, sf_dir: str) -> DataFrame:
 _TAKEN = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in SETTINGS.actions.items())
 
 
-@query("DQ2 SNK6 AGG18", f"SELECT issue AS issue_type, affected AS records_affected, pct AS percentage_of_total, output AS records_in_output, CASE issue {_TAKEN} END AS handling_action FROM ({ORACLES['dq_issues']}) WHERE affected > 0")
+@query("DQ2 DQ4 SNK6 ADP12 AGG18", f"SELECT issue AS issue_type, affected AS records_affected, pct AS percentage_of_total, output AS records_in_output, CASE issue {_TAKEN} END AS handling_action FROM ({ORACLES['dq_issues']}) WHERE affected > 0")
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The issues of the quality report, with their handling actions, as the written document states them."""
     issues = [r.asDict() for r in dq_issues(spark, sf_dir).collect()]  # one row an issue

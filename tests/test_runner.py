@@ -16,8 +16,8 @@ from tests.conftest import DATA
 def test_batch_and_buckets_agree(spark, tmp_path):
     tables = [spark.read.parquet(str(DATA / f"{n}.parquet")) for n in ("customers", "accounts", "transactions")]
     once, parts = Store(spark, str(tmp_path / "once")), Store(spark, str(tmp_path / "parts"))
-    a = runner.run_batch(*tables, once, Settings())
-    b = runner.run_bucketed(*tables, parts, Settings(profile_mode="off"), buckets.Preflight(0, 3, "x"))
+    a = runner.run_batch(*tables, once, Settings(provinces=8))
+    b = runner.run_bucketed(*tables, parts, Settings(profile_mode="off", provinces=8), buckets.Preflight(0, 3, "x"))
     assert a.failures == b.failures == [] and {k: v for k, v in a.rows.items()} == {k: b.rows[k] for k in a.rows}
     assert a.rows["silver/transactions"] + a.rows["quarantine/transactions"] == a.rows["bronze/transactions"]
     key = lambda s: sorted(s.read("gold/fact_transactions").select("transaction_sk", "account_sk", F.col("dq_flag")).collect(), key=str)
@@ -27,6 +27,8 @@ def test_batch_and_buckets_agree(spark, tmp_path):
     audit = json.loads((tmp_path / "once" / "audit.json").read_text())
     assert audit["metrics"]["transactions"]["rows"] == a.rows["bronze/transactions"]
     assert not (tmp_path / "parts" / "audit.json").exists()
+    told = json.loads((tmp_path / "parts" / "performance.json").read_text())
+    assert told["preflight"]["tier"] == "large" and {w["table"] for w in told["writes"]} == set(b.rows) and all(w["bytes"] > 0 for w in told["writes"])
     assert [p["phase"] for p in json.loads((tmp_path / "once" / "performance.json").read_text())["phases"]] == ["bronze", "silver and gold", "validation", "report", "audit"]
 
 
@@ -34,7 +36,7 @@ def test_run_from_files(spark, tmp_path):
     (tmp_path / "customers.csv").write_text("customer_id,province\nc1,Gauteng\n")
     (tmp_path / "accounts.csv").write_text("account_id,customer_ref,current_balance\na1,c1,5\n")
     (tmp_path / "transactions.jsonl").write_text('{"transaction_id": "t1", "account_id": "a1", "transaction_date": "2024-01-05", "transaction_type": "FEE", "amount": 1.5, "currency": "R", "channel": "APP"}\nbroken\n')
-    run = runner.run_batch(*runner.read_sources(spark, str(tmp_path)), Store(spark, str(tmp_path / "out")), Settings(), types=1)
+    run = runner.run_batch(*runner.read_sources(spark, str(tmp_path)), Store(spark, str(tmp_path / "out")), Settings(provinces=1), types=1)
     assert run.failures == [] and run.rows["gold/fact_transactions"] == 1 and run.rows["quarantine/transactions"] == 1
 
 
