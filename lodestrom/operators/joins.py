@@ -39,6 +39,11 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(row), F.lit(0)).alias("b")).first()["b"]
 
 
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether the rows of ``df`` fit a broadcast."""
+    return measured_bytes(df) <= BROADCAST_BYTES
+
+
 def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
     """``df`` with a broadcast hint if its measured rows fit the limit; otherwise untouched, so that it is shuffled.
 
@@ -66,7 +71,7 @@ def skew_safe_join(left: DataFrame, right: DataFrame, key: str, how: str = "inne
     just these keys' right rows - at most ``1/share`` keys - and all others are shuffled. Null keys match nothing; ``left``
     and ``left_anti`` keep them without sending them through the shuffle of the matched part.
     """
-    if measured_bytes(right) <= BROADCAST_BYTES:
+    if fits_broadcast(right):
         return left.join(F.broadcast(right), key, how)
     left = scratch.materialise(left, "join-left")
     hot = hot_keys(left, key, share, floor)
