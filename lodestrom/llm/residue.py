@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from lodestrom import scratch
 from lodestrom.functions.coordinates import let
-from lodestrom.operators.joins import broadcast_if_small
+from lodestrom.operators.joins import broadcast_if_small, fits_broadcast, skew_safe_join
 
 # Names of HTML elements, which are no placeholders.
 _HTML = "noscript|script|html|head|body|div|span|p|br|hr|a|b|i|u|em|strong|li|ul|ol|table|tr|td|th|img|h[1-6]|title|meta|link|code|pre|form|input|style|sub|sup|nav|main|section|article|footer|header|button|label|select|option|iframe|video|audio|svg|path"
@@ -194,8 +194,9 @@ def line_table(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host
 def _out_of_place(lines: DataFrame, body: DataFrame, totals: DataFrame) -> DataFrame:
     """``doc_id, nth`` with ``terms`` and ``mismatch``, the share of terms that neither slug nor title nor body terms hold."""
     term = F.explode("terms").alias("term")
-    each = lines.select("doc_id", "nth", "site", "slug", "title", term)
-    each = each.join(broadcast_if_small(body), ["site", "term"], "left").join(broadcast_if_small(totals), "site")
+    each = lines.select("doc_id", "nth", "site", "slug", "title", term).join(broadcast_if_small(totals), "site")
+    place = F.concat_ws("\u0000", "site", "term").alias("place")
+    each = skew_safe_join(each.select("*", place), body.select(place, "n"), "place", "left")
     rare = F.coalesce("n", F.lit(0)) < F.greatest(F.lit(float(RARE_LINES)), F.col("lines") * RARE)
     strange = rare & ~F.array_contains("slug", F.col("term")) & ~F.coalesce(F.array_contains("title", F.col("term")), F.lit(False))
     return each.groupBy("doc_id", "nth").agg(F.avg(strange.cast("double")).alias("mismatch"))
@@ -219,21 +220,27 @@ def find_residue(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ho
     spread = forms.join(hosts, "key").join(broadcast_if_small(totals), "site").where(F.col("n") <= F.col("lines") * OWN).select("key", "site", "hosts")
     spread = scratch.materialise(spread, "spread-lines")
     slug = F.array_distinct(F.concat(_words(F.col("site")), _words(F.col("host"))))
-    marked = named.join(broadcast_if_small(spread), ["key", "site"], "left").withColumn("slug", slug)
+    # beyond the limit of a broadcast, lines of very frequent forms are joined apart from the others
+    form = F.concat("key", F.encode("site", "UTF-8")).alias("form")
+    marked = skew_safe_join(named.select("*", form), spread.select(form, "hosts"), "form", "left").drop("form").withColumn("slug", slug)
     suspect = scratch.materialise(marked.where("hosts is not null or kind is not null").select("doc_id", "nth", "host", "site", "key", "terms", "title", "slug", "kind", "hosts"), "suspect-lines")
     # body terms: of the ordinary lines only, and only those that a suspect line holds
-    wanted = broadcast_if_small(scratch.materialise(suspect.select(F.explode("terms").alias("term")).distinct(), "suspect-terms"))
+    wanted = scratch.materialise(suspect.select(F.explode("terms").alias("term")).distinct(), "suspect-terms")
     ordinary = marked.where("hosts is null and kind is null")
-    body = scratch.materialise(ordinary.where("nth >= 0").select("site", F.explode("terms").alias("term")).join(wanted, "term", "left_semi").groupBy("site", "term").agg(F.count(F.lit(1)).alias("n")), "body-terms")
+    said = ordinary.where("nth >= 0").select("site", F.explode("terms").alias("term"))
+    count = lambda df: df.groupBy("site", "term").agg(F.count(F.lit(1)).alias("n"))
+    # few wanted terms are broadcast and filter the rows; many meet the counted terms, of which there is one a site
+    body = count(said.join(F.broadcast(wanted), "term", "left_semi")) if fits_broadcast(wanted) else count(said).join(wanted, "term", "left_semi")
+    body = scratch.materialise(body, "body-terms")
     judged = scratch.materialise(suspect.join(_out_of_place(suspect, body, totals), ["doc_id", "nth"]), "judged-lines")
     duplicated = judged.where(F.col("hosts").isNotNull() & (F.col("mismatch") >= MISMATCH["duplicated"]))
     known = judged.where(F.col("kind").isNotNull() & (F.col("mismatch") >= MISMATCH["known"]))
     # what the confirmed responses say: their terms, and which of these no ordinary line of the corpus holds
     everywhere = body.groupBy("term").agg(F.sum("n").alias("n")).crossJoin(F.broadcast(totals.agg(F.sum("lines").alias("all"))))  # one row of one value
     common = everywhere.where(F.col("n") >= F.greatest(F.lit(float(RARE_LINES)), F.col("all") * RARE)).select("term", F.lit(True).alias("common"))
-    said = duplicated.select(F.explode("terms").alias("term")).distinct().join(common, "term", "left").select("term", F.col("common").isNull().alias("strange"))
-    said = scratch.materialise(said, "learned-terms")
-    each = marked.where("hosts is null").select("doc_id", "nth", F.explode("terms").alias("term")).join(broadcast_if_small(said), "term", "left")
+    heard = duplicated.select(F.explode("terms").alias("term")).distinct().join(common, "term", "left").select("term", F.col("common").isNull().alias("strange"))
+    heard = scratch.materialise(heard, "learned-terms")
+    each = skew_safe_join(marked.where("hosts is null").select("doc_id", "nth", F.explode("terms").alias("term")), heard, "term", "left")
     learned = each.groupBy("doc_id", "nth").agg(F.count(F.lit(1)).alias("n"), F.count("strange").alias("met"), F.count_if("strange").alias("strange"))
     learned = learned.where((F.col("met") == F.col("n")) & (F.col("strange") >= F.col("n") * MISMATCH["learned"])).withColumn("mismatch", F.col("strange") / F.col("n"))
     found = [

@@ -80,3 +80,15 @@ def test_long_placeholders_have_no_limit(spark):
 @pytest.mark.parametrize("line", ["Error 404: Not Found", "404 Not Found nginx/1.18.0", "Oops! That page can't be found.", "Habilita JavaScript para visualizar esta tienda."])
 def test_common_notices_where_they_are_spread(spark, line):
     assert found(spark, *((1000 + i, line, f"b{i}", "s") for i in range(3))) == {1000, 1001, 1002}
+
+
+def test_the_same_beyond_the_broadcast_limit(spark, monkeypatch):
+    from lodestrom.operators import joins
+
+    notice = [(1000 + i, f"The clerk opens.\nPagina non trovata sul portale{' ora' if i > 3 else ''}", f"b{i % 4}", "s") for i in range(5)]
+    extra = [*notice, (2000, "Portale non trovata", "b1", "s"), (2001, "Dear {{name}}", None, None), (2002, None, None, None), (2003, "Error: page not found", "b9", None)]
+    want = found(spark, *extra)
+    assert {1000, 1001, 1002, 1003, 2000, 2001, 2003} <= want
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(joins.skew_safe_join, "__defaults__", ("inner", 0.01, 1))
+    assert found(spark, *extra) == want
