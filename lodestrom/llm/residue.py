@@ -221,7 +221,7 @@ def find_residue(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ho
     spread = scratch.materialise(spread, "spread-lines")
     slug = F.array_distinct(F.concat(_words(F.col("site")), _words(F.col("host"))))
     # beyond the limit of a broadcast, lines of very frequent forms are joined apart from the others
-    form = F.concat("key", F.encode("site", "UTF-8")).alias("form")
+    form = F.concat(F.hex("key"), "site").alias("form")
     marked = skew_safe_join(named.select("*", form), spread.select(form, "hosts"), "form", "left").drop("form").withColumn("slug", slug)
     suspect = scratch.materialise(marked.where("hosts is not null or kind is not null").select("doc_id", "nth", "host", "site", "key", "terms", "title", "slug", "kind", "hosts"), "suspect-lines")
     # body terms: of the ordinary lines only, and only those that a suspect line holds
