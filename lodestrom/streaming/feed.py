@@ -1,7 +1,8 @@
 """Structured Streaming: admission, running balances and last-n state by idempotent upserts of a versioned store.
 
 The checkpoint remembers which files were read; the store's pointer remembers the last batch applied, separately for each
-table, so a restart between the two writes repeats neither. Both states are independent of the order of the files.
+table, so a restart between the two writes repeats neither. Both states are independent of the order of the files. The ids
+that were seen are never rewritten: each batch appends its new ones as a part of its own, under its number.
 """
 
 from __future__ import annotations
@@ -39,23 +40,33 @@ def typed_events(parsed: DataFrame) -> DataFrame:
     return states.admit(rows, "currency").drop("currency")
 
 
+def seen_ids(store: Store) -> DataFrame:
+    """``transaction_id, account_id, batch`` of every event that was booked."""
+    schema = "transaction_id string, account_id string, batch long"
+    p, fs = store._path(f"{store.root}/{SEEN}")
+    return store.spark.read.schema(schema).parquet(f"{store.root}/{SEEN}") if fs.exists(p) else store.spark.createDataFrame([], schema)
+
+
 def apply_batch(store: Store, batch: DataFrame, batch_id: int, kept: int = 50, written_at: str | None = None) -> None:
     """Apply one micro-batch to the balance, last-n and seen-id tables; events of unknown accounts are discarded.
 
-    The tables are written in the order balances, recent, seen; each skips a batch it has already applied.
+    The tables are written in the order balances, recent, seen; each skips a batch it has already applied. A batch that is
+    repeated after a crash finds the ids of the other batches only, so it gives the same new ones as before.
     """
     spark = store.spark
     events = batch.select(*states.EVENT_COLUMNS)
     balances = store.read(BALANCES)
     known = states.once_per_transaction(events).join(balances.select("account_id"), "account_id", "left_semi")
-    seen = store.read(SEEN, spark.createDataFrame([], "transaction_id string, account_id string").schema)
+    seen = seen_ids(store).where(F.col("batch") != batch_id)
     fresh = known.join(seen, ["account_id", "transaction_id"], "left_anti").persist()
     try:
         store.overwrite(states.apply_balances(balances, fresh, written_at), BALANCES, batch_id=batch_id)
         old = store.read(RECENT, known.schema)
         both = states.once_per_transaction(old.unionByName(known))
         store.overwrite(states.last_n(both, kept), RECENT, batch_id=batch_id)
-        store.overwrite(seen.unionByName(fresh.select("transaction_id", "account_id")), SEEN, batch_id=batch_id)
+        part, fs = store._path(f"{store.root}/{SEEN}/batch={batch_id}")
+        if not fs.exists(store._hadoop.Path(part, "_SUCCESS")):
+            fresh.select("transaction_id", "account_id").write.mode("overwrite").parquet(str(part))
     finally:
         fresh.unpersist()
 
