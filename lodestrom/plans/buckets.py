@@ -4,24 +4,31 @@ Duplicates of an id share a bucket, so transforming bucket by bucket gives the s
 in the store says which buckets are complete for which input; a run resumes with those that were active or failed, or whose
 output is gone, then takes the rest by the work they are expected to be. Metrics that add up are summed over buckets;
 distinct counts merge as sketches.
+
+A manifest is kept in parts of at most ``most_buckets`` buckets, so that committing a bucket rewrites a bounded document
+however many there are, and a bucket is read from its own folder alone. Small buckets run side by side.
 """
 
 from __future__ import annotations
 
 import math
+import threading
 import time
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor, wait
 from dataclasses import asdict, dataclass, field
 from pathlib import Path
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lodestrom.config import Settings
 from lodestrom.functions.keys import bucket_of
 from lodestrom.sources import files
 from lodestrom.sources.store import Store
+from lodestrom.sources.versions import Versions
 
 BUCKET = "_bucket"
 #: Where Linux control groups state their limits (version 2, then 1).
@@ -39,6 +46,12 @@ class Preflight:
     refusal: str | None = None
     rows: int | None = None
     limits: dict[str, int] = field(default_factory=dict)
+    per_part: int = Settings.most_buckets
+
+    @property
+    def parts(self) -> int:
+        """Parts of the manifest."""
+        return math.ceil(self.buckets / self.per_part)
 
     @property
     def tier(self) -> str:
@@ -68,11 +81,13 @@ def resource_limits() -> dict[str, int]:
 
 
 def preflight(input_bytes: int, fingerprint: str, settings: Settings, mode: str = "adaptive", buckets: int | None = None, rows: int | None = None) -> Preflight:
-    """As many buckets as the input needs, or as are asked for. A run that would need more than ``most_buckets`` is refused
-    rather than squeezed into fewer, larger ones: raise ``bucket_bytes`` or the limit."""
+    """As many buckets as the input needs, or as are asked for, in a manifest of as many parts as they need. A run that would
+    need more than ``most_buckets`` parts of ``most_buckets`` is refused rather than squeezed into fewer, larger buckets:
+    raise ``bucket_bytes`` or the limit."""
     wanted = buckets or (max(1, math.ceil(input_bytes / settings.bucket_bytes)) if mode == "adaptive" else 1)
-    refusal = f"{wanted} buckets exceed the limit of {settings.most_buckets}" if wanted > settings.most_buckets else None
-    return Preflight(input_bytes, wanted, fingerprint, mode, refusal, rows, resource_limits())
+    most = settings.most_buckets**2
+    refusal = f"{wanted} buckets exceed the limit of {most}" if wanted > most else None
+    return Preflight(input_bytes, wanted, fingerprint, mode, refusal, rows, resource_limits(), settings.most_buckets)
 
 
 def preflight_files(spark: SparkSession, paths: list[str], settings: Settings, mode: str = "adaptive", kind: str = "text") -> Preflight:
@@ -83,11 +98,17 @@ def preflight_files(spark: SparkSession, paths: list[str], settings: Settings, m
     return preflight(size, str(found), settings, mode, rows=sum(files.estimate_rows(spark, p) for p in paths) if kind == "text" else None)
 
 
+def _check(plan: Preflight) -> None:
+    if not plan.safe:
+        raise ValueError(plan.refusal)
+
+
 def ingest(df: DataFrame, key: str | Column, plan: Preflight, store: Store, table: str) -> None:
     """Write the input once, partitioned by bucket; rows of a bucket are gathered so that each writes few files.
 
     ``key`` must be what rows are compared by: where spellings of one id differ, its normal form.
     """
+    _check(plan)
     store.overwrite(df.withColumn(BUCKET, bucket_of(F.col(key) if isinstance(key, str) else key, plan.buckets)).repartition(plan.buckets, BUCKET), table, partition_by=[BUCKET])
 
 
@@ -116,38 +137,77 @@ def schedule(buckets: int, manifest: dict, weights: dict[int, float] | None = No
     return sorted(todo, key=lambda b: (rank.get(state.get(str(b), ""), 2), -weights.get(b, 0.0), b))
 
 
+def _logs(store: Store, table: str, plan: Preflight) -> list[Versions]:
+    return [store.versions(f"{table}/_manifest" + (f"-{k}" if k else "")) for k in range(plan.parts)]
+
+
 def load_manifest(store: Store, table: str, plan: Preflight) -> dict:
-    """The manifest of this input, or a fresh one if there is none or it belongs to another input. A bucket whose output is
-    gone counts as failed, whatever the manifest says."""
-    manifest = store.versions(f"{table}/_manifest").latest() or {}
-    if manifest.get("fingerprint") != plan.fingerprint or manifest.get("count") != plan.buckets:
-        return {"fingerprint": plan.fingerprint, "count": plan.buckets, "buckets": {}, "metrics": {}}
-    for b, state in manifest["buckets"].items():
+    """The manifest of this input, of all its parts, or a fresh one if there is none or it belongs to another input. A bucket
+    whose output is gone counts as failed, whatever the manifest says."""
+    whole: dict[str, Any] = {"fingerprint": plan.fingerprint, "count": plan.buckets, "buckets": {}, "metrics": {}}
+    for log in _logs(store, table, plan):
+        part = log.latest() or {}
+        if part.get("fingerprint") == plan.fingerprint and part.get("count") == plan.buckets:
+            whole["buckets"] |= part["buckets"]
+            whole["metrics"] |= part["metrics"]
+    for b, state in whole["buckets"].items():
         if state == "complete" and not store.exists(f"{table}/bucket={b}"):
-            manifest["buckets"][b] = "failed"
-    return manifest
+            whole["buckets"][b] = "failed"
+    return whole
 
 
-def run(store: Store, source: str, target: str, plan: Preflight, transform: Callable[[DataFrame], DataFrame], weights: dict[int, float] | None = None) -> DataFrame:
-    """Transform every bucket that is not complete and return all of them; raises after marking a bucket that fails."""
-    if not plan.safe:
-        raise ValueError(plan.refusal)
-    manifest = load_manifest(store, target, plan)
-    log = store.versions(f"{target}/_manifest")
-    source_df = store.read(source)
-    for b in schedule(plan.buckets, manifest, weights or expected_work(store, source, plan, manifest, plan.rows)):
-        manifest["buckets"][str(b)] = "active"
-        log.publish(manifest)
+def read_bucket(store: Store, source: str, bucket: int) -> DataFrame:
+    """The rows of one bucket, from its own folder: no other bucket is listed."""
+    fields = T.StructType.fromJson(store.pointer(source)["schema"]).fields
+    schema = T.StructType([f for f in fields if f.name != BUCKET])
+    path = f"{store.location(source)}/{BUCKET}={bucket}"
+    p, fs = store._path(path)
+    return store.spark.read.schema(schema).parquet(path) if fs.exists(p) else store.spark.createDataFrame([], schema)
+
+
+def at_once(spark: SparkSession, plan: Preflight) -> int:
+    """How many buckets may run side by side: as many as there are cores, while together they hold no more than one bucket of
+    the default size."""
+    share = max(1, plan.input_bytes // plan.buckets)
+    return max(1, min(spark.sparkContext.defaultParallelism, Settings.bucket_bytes // share))
+
+
+def run(store: Store, source: str, target: str, plan: Preflight, transform: Callable[[DataFrame], DataFrame], weights: dict[int, float] | None = None, workers: int = 1) -> DataFrame:
+    """Transform every bucket that is not complete and return all of them; raises after marking a bucket that fails.
+
+    ``workers`` buckets run at a time. After a failure none is begun; those that run are finished and committed.
+    """
+    _check(plan)
+    manifest, logs = load_manifest(store, target, plan), _logs(store, target, plan)
+    guard, failed = threading.Lock(), threading.Event()
+
+    def note(b: int, state: str, **metrics: float) -> None:
+        with guard:
+            manifest["buckets"][str(b)] = state
+            if metrics:
+                manifest["metrics"][str(b)] = metrics
+            part = b // plan.per_part
+            mine = {str(k) for k in range(part * plan.per_part, (part + 1) * plan.per_part)}
+            logs[part].publish(manifest | {k: {b: v for b, v in manifest[k].items() if b in mine} for k in ("buckets", "metrics")})
+
+    def one(b: int) -> None:
+        if failed.is_set():
+            return
+        note(b, "active")
         began = time.perf_counter()
         try:
-            done = store.overwrite(transform(source_df.where(F.col(BUCKET) == b).drop(BUCKET)), f"{target}/bucket={b}")
+            done = store.overwrite(transform(read_bucket(store, source, b)), f"{target}/bucket={b}")
         except Exception:
-            manifest["buckets"][str(b)] = "failed"
-            log.publish(manifest)
+            failed.set()
+            note(b, "failed")
             raise
-        manifest["buckets"][str(b)] = "complete"
-        manifest["metrics"][str(b)] = {"rows": done["rows"], "seconds": round(time.perf_counter() - began, 3)}
-        log.publish(manifest)
+        note(b, "complete", rows=done["rows"], seconds=round(time.perf_counter() - began, 3))
+
+    with ThreadPoolExecutor(workers) as pool:
+        futures = [pool.submit(one, b) for b in schedule(plan.buckets, manifest, weights or expected_work(store, source, plan, manifest, plan.rows))]
+        wait(futures)
+    for f in futures:
+        f.result()
     return files.read_union(store.spark, [store.location(f"{target}/bucket={b}") for b in range(plan.buckets)])
 
 

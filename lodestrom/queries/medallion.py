@@ -657,7 +657,7 @@ def bucketed_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = buckets.preflight_files(spark, [f"{sf_dir}/transactions.parquet"], Settings(bucket_bytes=2 << 20), kind="parquet")
     store = Store(spark, scratch.new_path(spark, "buckets"))
     buckets.ingest(t, "transaction_id", plan, store, "bronze")
-    done = buckets.run(store, "bronze", "silver", plan, lambda b: dedupe.keep_first(b, ["transaction_id"], [F.col("ingested_at"), F.col("row_id")]))
+    done = buckets.run(store, "bronze", "silver", plan, lambda b: dedupe.keep_first(b, ["transaction_id"], [F.col("ingested_at"), F.col("row_id")]), workers=buckets.at_once(spark, plan))
     return done.select("transaction_id", F.col("ingested_at").alias("first_at"))
 
 

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestrom.config import Settings
+from lodestrom.operators import dedupe
 from lodestrom.plans import buckets, runner
 from lodestrom.sources.store import Store
 from tests.conftest import DATA
@@ -47,3 +48,29 @@ def test_optional_phases_may_fail():
     with pytest.raises(ValueError, match="yes"), run.phase("needed"):
         raise ValueError("yes")
     assert [p["error"] for p in run.phases] == ["ValueError: no", "ValueError: yes"]
+
+
+def test_more_buckets_than_one_part_of_the_manifest_holds(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "s"))
+    df = spark.range(200).select((F.col("id") % 70).cast("string").alias("k"), "id")
+    plan = buckets.preflight(600, "fp", Settings(bucket_bytes=100, most_buckets=3))
+    assert (plan.buckets, plan.parts, plan.safe) == (6, 2, True) and not buckets.preflight(1000, "fp", Settings(bucket_bytes=100, most_buckets=3)).safe
+    assert buckets.preflight(307 * (2 << 20), "fp", Settings(bucket_bytes=2 << 20)).safe
+    buckets.ingest(df, "k", plan, store, "bronze")
+    first = lambda part: dedupe.keep_first(part, ["k"], [F.col("id")])
+    lost = store.read("bronze").where("_bucket = 4").first()["k"]
+
+    def transform(part):
+        if part.where(F.col("k") == lost).count():
+            raise RuntimeError("lost")
+        return first(part)
+
+    with pytest.raises(RuntimeError, match="lost"):
+        buckets.run(store, "bronze", "silver", plan, transform, {b: 6.0 - b for b in range(6)}, workers=2)
+    states = buckets.load_manifest(store, "silver", plan)["buckets"]
+    assert states["4"] == "failed" and {states[str(b)] for b in range(4)} == {"complete"}
+    before = {b: store.pointer(f"silver/bucket={b}")["version"] for b in range(4)}
+    done = buckets.run(store, "bronze", "silver", plan, first, workers=2)
+    assert sorted(done.collect()) == sorted(first(df).collect()) and done.count() == 70
+    assert before == {b: store.pointer(f"silver/bucket={b}")["version"] for b in range(4)}
+    assert buckets.total_rows(buckets.load_manifest(store, "silver", plan)) == 70
