@@ -82,7 +82,7 @@ def typed_transactions(bronze: DataFrame) -> DataFrame:
     value = readable_amount(F.col("amount"))
     quoted = F.coalesce("amount_was_quoted", is_quoted_amount(F.col("raw_json")))
     return rows.select(
-        *(c for c in ("row_id", "_first") if c in rows.columns),
+        *(c for c in ("row_id", "_first", "_known") if c in rows.columns),
         identifier(F.col("transaction_id")).alias("transaction_id"),
         identifier(F.col("account_id")).alias("account_id"),
         parse_date(F.col("transaction_date")).alias("transaction_date"),
@@ -108,8 +108,19 @@ def dq_flag() -> Column:
     return F.when(F.col("amount_quoted"), "TYPE_MISMATCH").when(F.col("date_variant"), "DATE_FORMAT").when(F.col("currency_variant"), "CURRENCY_VARIANT")
 
 
-def judged_transactions(bronze: DataFrame, accounts: DataFrame) -> DataFrame:
-    """Every row with its ``outcome``; ids are kept at their first time, rows without an id are never duplicates.
+def _known_accounts(accounts: DataFrame, key: str) -> DataFrame:
+    return accounts.select(F.col("account_id").alias(key), F.lit(True).alias("_known")).where(F.col(key).isNotNull())
+
+
+def mark_known(bronze: DataFrame, accounts: DataFrame) -> DataFrame:
+    """``bronze`` with ``_known``: true where the account is known, else null. For rows that are judged in many parts, so that
+    the accounts are met once."""
+    return skew_safe_join(bronze.withColumn("_account", identifier(F.col("account_id"))), _known_accounts(accounts, "_account"), "_account", "left").drop("_account")
+
+
+def judged_transactions(bronze: DataFrame, accounts: DataFrame | None = None) -> DataFrame:
+    """Every row with its ``outcome``; ids are kept at their first time, rows without an id are never duplicates. Without
+    ``accounts`` the rows must come from :func:`mark_known`.
 
     Hot ids are spread over salts, see :func:`lodestrom.operators.dedupe.mark_first`; the rest is typed after that, once.
     """
@@ -117,8 +128,7 @@ def judged_transactions(bronze: DataFrame, accounts: DataFrame) -> DataFrame:
     order = [parse_timestamp(F.col("transaction_date"), F.col("transaction_time")), *([F.col("row_id")] if total else [])]
     keyed = bronze.withColumn("transaction_id", identifier(F.col("transaction_id")))
     ranked = typed_transactions(mark_first(keyed, "transaction_id", order, total=total))
-    known = accounts.select("account_id", F.lit(True).alias("_known")).where("account_id is not null")
-    met = skew_safe_join(ranked, known, "account_id", "left")
+    met = ranked if accounts is None else skew_safe_join(ranked, _known_accounts(accounts, "account_id"), "account_id", "left")
     missing = F.lit(False)
     for c in REQUIRED_TRANSACTION_FIELDS:
         missing = missing | F.col(c).isNull()

@@ -119,19 +119,22 @@ def run_batch(customers: DataFrame, accounts: DataFrame, transactions: DataFrame
 def run_bucketed(customers: DataFrame, accounts: DataFrame, transactions: DataFrame, store: Store, settings: Settings, plan: buckets.Preflight, types: int = 4) -> RunContext:
     """The same result with the transactions transformed bucket by bucket; a run that was cut off resumes."""
     run = RunContext()
-    if buckets.load_manifest(store, "judged", plan)["buckets"] == {}:
+    fresh = buckets.load_manifest(store, "judged", plan)["buckets"] == {}
+    if fresh:
         with run.phase("bronze"):
             for name, df in (("customers", customers), ("accounts", accounts), ("transactions", transactions)):
                 run.write(store, df, f"bronze/{name}")
-            buckets.ingest(store.read("bronze/transactions"), identifier(F.col("transaction_id")), plan, store, "bronze/bucketed")
     with run.phase("dimensions"):
         c = medallion.silver_customers(store.read("bronze/customers"))
         run.write(store, c.valid, "silver/customers")
         a = medallion.silver_accounts(store.read("bronze/accounts"), store.read("silver/customers"))
         run.write(store, a.valid, "silver/accounts")
+    known = store.read("silver/accounts")
+    if fresh:
+        with run.phase("ingest"):  # the accounts are met here, once, and not by every bucket
+            buckets.ingest(medallion.mark_known(store.read("bronze/transactions"), known), identifier(F.col("transaction_id")), plan, store, "bronze/bucketed")
     with run.phase("buckets"):
-        known = store.read("silver/accounts")
-        judged = buckets.run(store, "bronze/bucketed", "judged", plan, lambda part: medallion.judged_transactions(part, known))
+        judged = buckets.run(store, "bronze/bucketed", "judged", plan, medallion.judged_transactions, workers=buckets.at_once(store.spark, plan))
     with run.phase("gold"):
         t = medallion.silver_transactions(judged)
         dims_c, dims_a = medallion.dim_customers(store.read("silver/customers"), settings), medallion.dim_accounts(known)

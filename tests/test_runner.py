@@ -74,3 +74,13 @@ def test_more_buckets_than_one_part_of_the_manifest_holds(spark, tmp_path):
     assert sorted(done.collect()) == sorted(first(df).collect()) and done.count() == 70
     assert before == {b: store.pointer(f"silver/bucket={b}")["version"] for b in range(4)}
     assert buckets.total_rows(buckets.load_manifest(store, "silver", plan)) == 70
+
+
+def test_whole_run_with_more_buckets_than_one_part_of_the_manifest_holds(spark, tmp_path):
+    tables = [spark.read.parquet(str(DATA / f"{n}.parquet")) for n in ("customers", "accounts", "transactions")]
+    settings = Settings(profile_mode="off", provinces=8, bucket_bytes=100, most_buckets=2)
+    plan, store = buckets.preflight(300, "x", settings), Store(spark, str(tmp_path / "parts"))
+    run = runner.run_auto(*tables, store, settings, plan)
+    assert (plan.buckets, plan.parts) == (3, 2) and run.failures == []
+    assert run.rows["silver/transactions"] + run.rows["quarantine/transactions"] == run.rows["bronze/transactions"] == tables[2].count()
+    assert set(buckets.load_manifest(store, "judged", plan)["buckets"].values()) == {"complete"}
