@@ -70,7 +70,7 @@ def _csv(line: str | None) -> dict[str, Any]:
 
 
 def _json(line: str | None) -> dict[str, Any]:
-    p = json_parse(line or "")
+    p = json_parse(line or "", exact=True)
     said = {"fault": None if p.valid else "bad_json", "edits": "; ".join(p.edits), "cost": p.cost, "least": p.least}
     if not p.valid:
         return said

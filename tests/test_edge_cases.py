@@ -280,6 +280,26 @@ def test_json_of_any_depth_and_any_damage():
     assert not wild.valid and not wild.least and wild.cost == len(wild.edits)
 
 
+def test_edits_of_much_damaged_json_are_the_fewest():
+    import random
+
+    from lodestrom.functions.repair import _JSON_SYMBOLS, _json_edits, _json_edits_by_level
+    from lodestrom.operators.lines import _json
+
+    for line, cost in (('"' * 5001, 2503), ('{"amount":1,"b":' + '{"a":' * 300, 302), ('["a",' * 30, 36)):
+        said = _json(line)
+        assert (said["fault"], said["cost"], said["least"]) == ("bad_json", cost, True)
+        assert 0 < len(said["edits"].split("; ")) <= cost
+    rng, compared = random.Random(7), 0
+    parts = ["{", "}", "[", "]", ":", ",", '"', '"amount"', "1", '"a"', "x", "\\n", " ", "\t", '"amount":', '"b":2']
+    for _ in range(80):
+        symbols = _JSON_SYMBOLS.findall("".join(rng.choice(parts) for _ in range(rng.randint(0, 10))))
+        if found := _json_edits(symbols, "amount"):
+            compared += 1
+            assert found[0] == _json_edits_by_level(symbols, "amount")[0], symbols
+    assert compared > 60
+
+
 def test_json_reader_agrees_with_the_standard_one():
     import json
     import random
